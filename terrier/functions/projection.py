@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrier.functions.territories import METROPOLE, METROPOLE_SRID, OVERSEAS_SRID
 
@@ -83,26 +84,38 @@ def cone(srid: int) -> Cone:
     return Cone(n, scale, scale * t(p0) ** n, lon0, east, north)
 
 
+PARAMETERS = T.StructType(
+    [T.StructField("_territory", T.StringType(), False), T.StructField("srid", T.IntegerType())]
+    + [T.StructField("_conic", T.BooleanType(), False)]
+    + [T.StructField(f"_{c}", T.DoubleType(), False) for c in ("east", "north", "lon0", "side", "unit", "rho0", "power", "turn")]
+)
+NOWHERE = ""
+
+
 def parameters(spark: SparkSession) -> DataFrame:
-    """One row per territory: its system and the constants the inverse formulas need."""
-    rows = []
+    """One row per territory, and one for all the others: its system and derived constants.
+
+    Divisors are kept as their inverses. ``unit`` scales metres to the working unit (the radius
+    of the cone's scale, or of the sphere), ``side`` is the hemisphere of a cone, ``power`` and
+    ``turn`` its inverse constant.
+    """
+    nan = float("nan")
+    rows = [(NOWHERE, None, True, nan, nan, nan, nan, nan, nan, nan, nan)]
     for dept in METROPOLE + list(OVERSEAS_SRID):
         srid = OVERSEAS_SRID.get(dept, METROPOLE_SRID)
         if srid in CONIC:
             c = cone(srid)
-            rows.append((dept, srid, c.n, c.scale, c.rho0, c.lon0, c.east, c.north))
+            side = math.copysign(1.0, c.n)
+            rows.append((dept, srid, True, c.east, c.north, c.lon0, side, 1.0, c.rho0, 1 / c.n, 1 / c.scale))
         else:
             lon0, north = MERCATOR[srid]
-            rows.append((dept, srid, None, None, None, lon0, FALSE_EAST, north))
-    return spark.createDataFrame(
-        rows,
-        "_territory string, srid int, _n double, _scale double, _rho0 double, "
-        "_lon0 double, _east double, _north double",
-    )
+            unit = 1 / (SCALE * RECTIFYING)
+            rows.append((dept, srid, False, FALSE_EAST, north, lon0, 1.0, unit, 0.0, 1.0, 1.0))
+    return spark.createDataFrame(rows, PARAMETERS)
 
 
 def _series(angle: Column, coefficients: tuple[float, ...], wave) -> Column:
-    terms = [F.lit(c) * wave(2 * k) for k, c in enumerate(coefficients, start=1)]
+    terms = [F.lit(c) * wave(2.0 * k) for k, c in enumerate(coefficients, start=1)]
     return reduce(lambda a, b: a + b, terms, angle)
 
 
@@ -110,56 +123,69 @@ def add_lon_lat(df: DataFrame, dept: str, x: str, y: str) -> DataFrame:
     """Adds ``longitude`` and ``latitude`` (degrees), NULL where x or y is.
 
     The system follows from the territory of each row, so one job serves the whole country. The
-    parameter table has a hundred rows by definition and is broadcast. A row of an unknown
-    territory fails the job: assuming the metropolitan system would put it on another continent.
+    parameter table has a hundred rows by definition and is broadcast. A located row of an
+    unknown territory fails the job: assuming the metropolitan system would put it on another
+    continent.
+
+    The arithmetic in between works on NaN instead of NULL and on inverses instead of divisors:
+    nothing in it can be NULL, which keeps the generated code small enough to be compiled.
     """
     columns = df.columns
-    params = F.broadcast(parameters(df.sparkSession))
-    placed = df.join(params, F.col(dept) == F.col("_territory"), "left")
-
+    known = F.col(dept).isin(METROPOLE + list(OVERSEAS_SRID))
     located = F.col(x).isNotNull() & F.col(y).isNotNull()
+    params = F.broadcast(parameters(df.sparkSession))
+    nan = F.lit(float("nan"))
     refusal = F.raise_error(
         F.concat(F.lit("unknown territory, no coordinate system on record: "), F.coalesce(F.col(dept), F.lit("NULL")))
     )
-    # Easting and northing from the natural origin, in metres.
-    placed = placed.withColumns(
-        {
-            "_dx": F.when(located & F.col("_territory").isNull(), refusal.cast("double")).when(
-                located, F.col(x) - F.col("_east")
-            ),
-            "_dy": F.when(located, F.col(y) - F.col("_north")),
-        }
-    )
-    side = F.signum("_n")
-    conic = F.col("_n").isNotNull()
-    placed = placed.withColumns(
-        {
-            "_u": F.when(conic, side * F.col("_dx")).otherwise(F.col("_dx") / (SCALE * RECTIFYING)),
-            "_v": F.when(conic, side * (F.col("_rho0") - F.col("_dy"))).otherwise(
-                F.col("_dy") / (SCALE * RECTIFYING)
+    placed = (
+        df.withColumn("_key", F.when(known, F.coalesce(F.col(dept), F.lit(NOWHERE))).otherwise(F.lit(NOWHERE)))
+        .join(params, F.col("_key") == F.col("_territory"))
+        .withColumns(
+            {
+                "_u": F.coalesce(
+                    F.when(located & (F.col("_key") == NOWHERE), refusal.cast("double")),
+                    (F.coalesce(F.col(x), nan) - F.col("_east")) * F.col("_side") * F.col("_unit"),
+                ),
+                "_v": F.coalesce(F.col(y), nan) - F.col("_north"),
+            }
+        )
+        .withColumn(
+            "_v",
+            F.when(F.col("_conic"), (F.col("_rho0") - F.col("_v")) * F.col("_side")).otherwise(
+                F.col("_v") * F.col("_unit")
             ),
-        }
+        )
     )
     u, v = F.col("_u"), F.col("_v")
     # Mercator: subtract the series to get the spherical coordinates.
     negative = tuple(-b for b in INVERSE_KRUGER)
     placed = placed.withColumns(
         {
-            "_xi": F.when(~conic, _series(v, negative, lambda m: F.sin(v * m) * F.cosh(u * m))),
-            "_eta": F.when(~conic, _series(u, negative, lambda m: F.cos(v * m) * F.sinh(u * m))),
+            "_xi": F.when(F.col("_conic"), v).otherwise(
+                _series(v, negative, lambda m: F.sin(v * m) * F.cosh(u * m))
+            ),
+            "_eta": F.when(F.col("_conic"), u).otherwise(
+                _series(u, negative, lambda m: F.cos(v * m) * F.sinh(u * m))
+            ),
         }
     )
+    # Conic: xi and eta are still the plane coordinates.
     xi, eta = F.col("_xi"), F.col("_eta")
-    rho = side * F.sqrt(u * u + v * v)
+    rho = F.sqrt(xi * xi + eta * eta) * F.col("_side")
+    across, along = F.sinh(eta), F.cos(xi)
     placed = placed.withColumns(
         {
             "_chi": F.when(
-                conic, F.lit(math.pi / 2) - 2 * F.atan(F.pow(rho / F.col("_scale"), 1 / F.col("_n")))
-            ).otherwise(F.asin(F.sin(xi) / F.cosh(eta))),
-            "longitude": F.col("_lon0")
-            + F.degrees(F.when(conic, F.atan2(u, v) / F.col("_n")).otherwise(F.atan2(F.sinh(eta), F.cos(xi)))),
+                F.col("_conic"), F.lit(math.pi / 2) - F.atan(F.pow(rho * F.col("_turn"), F.col("_power"))) * 2.0
+            ).otherwise(F.atan2(F.sin(xi), F.sqrt(across * across + along * along))),
+            "_lambda": F.when(F.col("_conic"), F.atan2(eta, xi) * F.col("_power")).otherwise(F.atan2(across, along)),
         }
     )
     chi = F.col("_chi")
     latitude = F.degrees(_series(chi, TO_GEODETIC, lambda m: F.sin(chi * m)))
-    return placed.select(*columns, "longitude", latitude.alias("latitude"))
+    return placed.select(
+        *columns,
+        F.when(located, F.col("_lon0") + F.degrees("_lambda")).alias("longitude"),
+        F.when(located, latitude).alias("latitude"),
+    )

@@ -113,21 +113,23 @@ def arbitrate_parcels(relation: DataFrame, buildings: DataFrame) -> DataFrame:
     return best_per_group(links, ["parcelle_id"], order).select("parcelle_id", ID)
 
 
-def attach_parcels(buildings: DataFrame, relation: DataFrame | None) -> DataFrame:
+def parcels_won(tables: dict[str, DataFrame], departments: list[str] | None = None) -> DataFrame:
+    """The arbitration of a set of building tables; of those it needs only the dwelling counts."""
+    dwellings = star({k: tables[k] for k in ("groupe", "ffo")}, departments)
+    return arbitrate_parcels(tables["parcelle"], dwellings)
+
+
+def attach_parcels(buildings: DataFrame, won: DataFrame | None) -> DataFrame:
     """Adds the parcels a building won: one row each, or one row with NULL."""
-    if relation is None:
+    if won is None:
         return buildings.select("*", *_absent(parcelle_id="string"))
-    return buildings.join(arbitrate_parcels(relation, buildings), ID, "left")
+    return buildings.join(won, ID, "left")
 
 
 def prepare_building_rows(
     tables: dict[str, DataFrame], departments: list[str] | None = None, srid: int | None = None
 ) -> DataFrame:
     """The building tables to the published building table."""
-    base = star(tables, departments)
-    placed = add_footprints(base, "_footprint", "code_departement", srid=srid).drop("_footprint")
-    relation = tables.get("parcelle")
-    if relation is None:
-        return attach_parcels(placed, None).select(*BUILDING_OUTPUT)
-    won = arbitrate_parcels(relation, base)
-    return placed.join(won, ID, "left").select(*BUILDING_OUTPUT)
+    placed = add_footprints(star(tables, departments), "_footprint", "code_departement", srid=srid)
+    won = parcels_won(tables, departments) if "parcelle" in tables else None
+    return attach_parcels(placed, won).select(*BUILDING_OUTPUT)

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrier.functions.casts import lenient_double
 from terrier.functions.territories import require_known_territories, select_departments
 from terrier.operators import reports
 from terrier.operators.buildings import prepare_building_rows
@@ -20,6 +19,7 @@ from terrier.operators.ranking import largest_group
 from terrier.operators.sales import add_price_flag, add_sale_key, collapse, market_sales, typed_lines
 from terrier.operators.sources import prefer_later_sources, sale_match_key
 from terrier.plans import export
+from terrier.session import materialize
 from terrier.sources import delimited
 from terrier.sources.tables import manifest_baseline, read_table, read_table_or_none
 
@@ -29,20 +29,19 @@ def effective_lines(sources: list[DataFrame]) -> DataFrame:
     return prefer_later_sources(sources, sale_match_key(), tag=delimited.PRIORITY)
 
 
-def sales_from_lines(lines: DataFrame, measure_twins: bool = True) -> DataFrame:
+def sales_from_lines(lines: DataFrame, largest: int | None = None) -> DataFrame:
     """Raw text lines to the published sale table.
 
     Identifiers of different sources are different sequences, so lines of two sources never
-    merge into one sale. ``measure_twins`` counts lines per date and price first, which bounds
-    the sales that can share a fingerprint and picks the way they are ranked.
+    merge into one sale. ``largest`` bounds the number of sales that share a fingerprint and
+    picks the way they are ranked. Where the caller knows no bound, the collapsed sales (a
+    quarter of the lines) are written down once and counted on that one column.
     """
     keep = [delimited.PRIORITY] if delimited.PRIORITY in lines.columns else []
-    market = market_sales(lines)
-    largest = None
-    if measure_twins:
-        price = lenient_double(F.col("valeur_fonciere")).alias("price")
-        largest = largest_group(market.select("date_mutation", price), ["date_mutation", "price"])
-    sales = collapse(typed_lines(market, keep), [*keep, "id_mutation"])
+    sales = collapse(typed_lines(market_sales(lines), keep), [*keep, "id_mutation"])
+    if largest is None:
+        sales = materialize(sales, "collapsed-sales")
+        largest = largest_group(sales, ["_fingerprint"])
     return add_price_flag(add_sale_key(sales, largest=largest))
 
 

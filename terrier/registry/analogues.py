@@ -79,11 +79,15 @@ def diagnostics_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 def diagnostics_from_events(events: DataFrame) -> DataFrame:
     """Works on a stream of events as well."""
-    n, zone = F.col("event_id"), F.col("user_id") % 6
+    n = F.col("event_id")
+
+    def by_zone(*values) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), (F.col("user_id") % len(values)).cast("int"))
+
     # Territory, and an origin inside it from which points are spread.
-    dept = F.when(zone == 0, "33").when(zone == 1, "75").when(zone == 2, "2A").when(zone == 3, "971").when(zone == 4, "974").otherwise("988")
-    east = F.when(zone == 0, 415022).when(zone == 1, 652000).when(zone == 2, 1180000).when(zone == 3, 653431).when(zone == 4, 337000).otherwise(400000)
-    north = F.when(zone == 0, 6422103).when(zone == 1, 6862000).when(zone == 2, 6100000).when(zone == 3, 1774592).when(zone == 4, 7650000).otherwise(300000)
+    dept = by_zone("33", "75", "2A", "971", "974", "988")
+    east = by_zone(415022, 652000, 1180000, 653431, 337000, 400000)
+    north = by_zone(6422103, 6862000, 6100000, 1774592, 7650000, 300000)
     signed = F.date_add(F.lit("1995-01-01").cast("date"), (n * 37 % 2400).cast("int"))
     lost = n % 11 == 0
     return events.select(
@@ -127,7 +131,7 @@ def building_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.concat_ws(",", corner(0, 0), corner(10, 0), corner(10, 8), corner(0, 8), corner(0, 0)),
         F.lit(")))"),
     )
-    links = table(spark, sf, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.max("l_linestatus").alias("_status"))
+    links = table(spark, sf, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.max(F.col("l_linestatus") == "F").alias("_principal"))
     return {
         "groupe": s.select(
             ident,
@@ -162,6 +166,6 @@ def building_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
             prefixed("B", F.col("l_suppkey")).alias("batiment_groupe_id"),
             code(F.col("l_partkey"), 14).alias("parcelle_id"),
             code(F.col("l_suppkey") % 19 + 1, 2).alias("code_departement_insee"),
-            F.when(F.col("_status") == "F", "T").otherwise("f").alias("parcelle_principale"),
+            F.when(F.col("_principal"), "T").otherwise("f").alias("parcelle_principale"),
         ),
     }

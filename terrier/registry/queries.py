@@ -10,7 +10,7 @@ from terrier.functions.flags import position_quality, price_per_m2, price_qualit
 from terrier.functions.footprints import add_footprints
 from terrier.functions.projection import add_lon_lat
 from terrier.operators import changes, quality, reports, sales as so
-from terrier.operators.buildings import arbitrate_parcels, attach_parcels, prepare_building_rows, star
+from terrier.operators.buildings import attach_parcels, parcels_won, prepare_building_rows, star
 from terrier.operators.diagnostics import mark_replaced, prepare_diagnostic_rows, typed_diagnostics
 from terrier.operators.joins import left_join_spread, nearest_in_time, within_tolerance
 from terrier.operators.joint import enrich_sales
@@ -19,7 +19,7 @@ from terrier.operators.sources import prefer_later_sources, reconcile, sale_matc
 from terrier.plans import export
 from terrier.plans.prepare import effective_lines, sales_from_lines
 from terrier.registry import analogues as an
-from terrier.session import scratch_path
+from terrier.session import materialize, scratch_path
 from terrier.sources import delimited, landing
 from terrier.sources.tables import manifest_baseline, missing_partitions, read_table
 from terrier.streaming.pages import ingest_pages
@@ -39,8 +39,13 @@ def flagged(spark: SparkSession, sf: str) -> DataFrame:
     return so.add_price_flag(collapsed(spark, sf).drop("_fingerprint"))
 
 
+def twins_bound(spark: SparkSession, sf: str) -> int:
+    """Sales are orders here, and those with one fingerprint share their day and price."""
+    return largest_group(an.table(spark, sf, "orders"), ["o_orderdate", "o_totalprice"])
+
+
 def full_sales(spark: SparkSession, sf: str) -> DataFrame:
-    return sales_from_lines(an.sale_lines(spark, sf))
+    return sales_from_lines(an.sale_lines(spark, sf), twins_bound(spark, sf))
 
 
 def diagnostics(spark: SparkSession, sf: str) -> DataFrame:
@@ -255,14 +260,13 @@ def building_star_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parcel_arbitration(spark: SparkSession, sf: str) -> DataFrame:
-    tables = an.building_tables(spark, sf)
-    return arbitrate_parcels(tables["parcelle"], star(tables))
+    return parcels_won(an.building_tables(spark, sf))
 
 
 def won_buildings(spark: SparkSession, sf: str) -> DataFrame:
     """Buildings with the parcels they won."""
     tables = an.building_tables(spark, sf)
-    return attach_parcels(star(tables), tables["parcelle"])
+    return attach_parcels(star(tables), parcels_won(tables))
 
 
 def sale_building_join(spark: SparkSession, sf: str) -> DataFrame:
@@ -299,9 +303,10 @@ def replaced_mark_by_dept(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def joint_table(spark: SparkSession, sf: str) -> DataFrame:
-    tables = an.building_tables(spark, sf)
-    known = attach_parcels(star(tables), tables["parcelle"])
-    return enrich_sales(full_sales(spark, sf), known, diagnostics(spark, sf))
+    """From prepared tables on storage, as the joint job reads them: it uses each one twice."""
+    sold = materialize(full_sales(spark, sf), "sales")
+    known = materialize(won_buildings(spark, sf), "buildings")
+    return enrich_sales(sold, known, diagnostics(spark, sf))
 
 
 def sale_enrichment(spark: SparkSession, sf: str) -> DataFrame:
@@ -415,7 +420,7 @@ def source_precedence(spark: SparkSession, sf: str) -> DataFrame:
 def consolidated_sales(spark: SparkSession, sf: str) -> DataFrame:
     """The whole sale preparation over two overlapping sources."""
     return rounded(
-        sales_from_lines(effective_lines(two_sources(spark, sf))),
+        sales_from_lines(effective_lines(two_sources(spark, sf)), 2 * twins_bound(spark, sf)),
         surface_bati=2,
         surface_terrain=2,
         longitude=6,
@@ -489,7 +494,8 @@ def manifest_build(spark: SparkSession, sf: str) -> DataFrame:
 
 def upsert_by_key(spark: SparkSession, sf: str) -> DataFrame:
     """The older vintage updated by the official one, on the content key."""
-    older, newer = (sales_from_lines(s) for s in two_sources(spark, sf))
+    bound = twins_bound(spark, sf)
+    older, newer = (sales_from_lines(s, bound) for s in two_sources(spark, sf))
     merged = upsert(older, newer, "cle_vente")
     return merged.groupBy("annee", F.substring("id_mutation", 1, 1).alias("vintage")).agg(
         F.count(F.lit(1)).alias("n_sales"), F.round(F.sum("surface_bati"), 2).alias("surface")
