@@ -40,7 +40,8 @@ FALSE_EAST = 500000.0
 N3 = FLATTENING / (2 - FLATTENING)  # third flattening
 ECC = math.sqrt(FLATTENING * (2 - FLATTENING))
 
-# Series in the third flattening: conformal to geodetic latitude, and inverse Krüger.
+# Series in the third flattening: conformal to geodetic latitude, and inverse Krüger (whose
+# fourth term is a few micrometres).
 TO_GEODETIC = (
     2 * N3 - 2 * N3**2 / 3 - 2 * N3**3 + 116 * N3**4 / 45,
     7 * N3**2 / 3 - 8 * N3**3 / 5 - 227 * N3**4 / 45,
@@ -51,7 +52,6 @@ INVERSE_KRUGER = (
     N3 / 2 - 2 * N3**2 / 3 + 37 * N3**3 / 96 - N3**4 / 360,
     N3**2 / 48 + N3**3 / 15 - 437 * N3**4 / 1440,
     17 * N3**3 / 480 - 37 * N3**4 / 840,
-    4397 * N3**4 / 161280,
 )
 RECTIFYING = SEMI_MAJOR / (1 + N3) * (1 + N3**2 / 4 + N3**4 / 64)
 

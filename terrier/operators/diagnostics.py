@@ -83,7 +83,7 @@ def mark_replaced(
         .withColumn("_hit", F.lit(True))
     )
     right = ["_cited"] + (["_scope"] if scope else [])
-    marked = left_join_spread(diagnostics, cited, keys, right, spread_by=["date_dpe", "adresse", "_x", "_y"])
+    marked = left_join_spread(diagnostics, cited, keys, right, spread_by=["date_dpe", "adresse"])
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     # 'x IN (empty set)' is false even for a NULL x, hence the check for a non-empty set.
     cites = diagnostics.filter(F.col(replaces).isNotNull())

@@ -81,13 +81,14 @@ def diagnostics_from_events(events: DataFrame) -> DataFrame:
     """Works on a stream of events as well."""
     n = F.col("event_id")
 
-    def by_zone(*values) -> Column:
-        return F.get(F.array(*[F.lit(v) for v in values]), (F.col("user_id") % len(values)).cast("int"))
+    def pick(number: Column, *values) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), (number % len(values)).cast("int"))
 
     # Territory, and an origin inside it from which points are spread.
-    dept = by_zone("33", "75", "2A", "971", "974", "988")
-    east = by_zone(415022, 652000, 1180000, 653431, 337000, 400000)
-    north = by_zone(6422103, 6862000, 6100000, 1774592, 7650000, 300000)
+    zones = ["33", "75", "2A", "971", "974", "988"]
+    dept = pick(F.col("user_id"), *zones)
+    east = pick(F.col("user_id"), 415022, 652000, 1180000, 653431, 337000, 400000)
+    north = pick(F.col("user_id"), 6422103, 6862000, 6100000, 1774592, 7650000, 300000)
     signed = F.date_add(F.lit("1995-01-01").cast("date"), (n * 37 % 2400).cast("int"))
     lost = n % 11 == 0
     return events.select(
@@ -95,17 +96,17 @@ def diagnostics_from_events(events: DataFrame) -> DataFrame:
         F.when((n % 7 == 0) & (n >= 3), prefixed("D", n - 3)).alias("numero_dpe_remplace"),
         signed.cast("string").alias("date_etablissement_dpe"),
         F.date_add(signed, 3652).cast("string").alias("date_fin_validite_dpe"),
-        nothing_if(F.col("event_type") == "error", F.substring(F.lit("abcdefg"), (n % 7 + 1).cast("int"), F.lit(1))).alias("etiquette_dpe"),
-        F.substring(F.lit("gfedcba"), (n % 7 + 1).cast("int"), F.lit(1)).alias("etiquette_ges"),
+        nothing_if(F.col("event_type") == "error", pick(n, *"abcdefg")).alias("etiquette_dpe"),
+        pick(n, *"gfedcba").alias("etiquette_ges"),
         (n % 400 + 0.5).cast("string").alias("conso_5_usages_par_m2_ep"),
         (n % 90).cast("string").alias("emission_ges_5_usages_par_m2"),
         (n % 150 + 20).cast("string").alias("surface_habitable_logement"),
-        F.when(n % 3 == 0, "maison").when(n % 3 == 1, "appartement").otherwise("immeuble").alias("type_batiment"),
+        pick(n, "maison", "appartement", "immeuble").alias("type_batiment"),
         (n % 120 + 1900).cast("string").alias("annee_construction"),
         F.when(n % 120 < 48, "avant 1948").otherwise("1948 et apres").alias("periode_construction"),
         F.concat(F.lit("rue "), F.col("user_id").cast("string")).alias("adresse_ban"),
-        F.concat(dept, F.lit("000")).alias("code_postal_ban"),
-        F.concat(dept, F.lit("001")).alias("code_insee_ban"),
+        pick(F.col("user_id"), *[f"{z}000" for z in zones]).alias("code_postal_ban"),
+        pick(F.col("user_id"), *[f"{z}001" for z in zones]).alias("code_insee_ban"),
         dept.alias("code_departement_ban"),
         prefixed("ban", F.col("user_id")).alias("identifiant_ban"),
         nothing_if(lost, (east + n % 1000 * 10).cast("string")).alias("coordonnee_cartographique_x_ban"),
