@@ -23,12 +23,27 @@ SEPARATORS = [";", ",", "\t", "|"]
 INLINE_HASH_BYTES = 256 * 1024 * 1024
 
 
-def list_files(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:
-    """One row per file below ``paths``: path, length, modificationTime."""
+def _reader(spark: SparkSession, pattern: str | None):
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(paths).select("path", "length", "modificationTime")
+    return reader.option("pathGlobFilter", pattern) if pattern else reader
+
+
+def list_files(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:
+    """One row per file below ``paths`` that holds anything: path, length."""
+    return _reader(spark, pattern).load(paths).select("path", "length")
+
+
+def empty_files(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:
+    """The files without content, which a scan never sees but Spark's file index knows."""
+    names = [(name,) for name in _reader(spark, pattern).load(paths).inputFiles()]
+    known = spark.createDataFrame(names, "path string").select(_plain(F.col("path")).alias("path"))
+    held = list_files(spark, paths, pattern).select(_plain(F.col("path")).alias("path"))
+    return known.join(held, "path", "left_anti").select("path", F.lit(0).cast("long").alias("length"))
+
+
+def _plain(path: Column) -> Column:
+    """Spark prints local paths with one slash or with three."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
 def _open(path: str):
@@ -89,7 +104,8 @@ def header_decodes(head: Column) -> Column:
 def file_health(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:
     """One row per landed file with the reason it is refused, if any."""
     heads = file_heads(list_files(spark, paths, pattern))
-    return heads.select("path", "length", rejection_reason(F.col("length"), F.col("head")).alias("reason"))
+    empty = empty_files(spark, paths, pattern).withColumn("head", F.lit(b""))
+    return heads.unionByName(empty).select("path", "length", rejection_reason(F.col("length"), F.col("head")).alias("reason"))
 
 
 def fingerprints(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:
@@ -101,10 +117,7 @@ def fingerprints(spark: SparkSession, paths: str | list[str], pattern: str | Non
     """
     import hashlib
 
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    files = reader.load(paths)
+    files = _reader(spark, pattern).load(paths)
     inline = files.filter(F.col("length") <= INLINE_HASH_BYTES).select(
         "path", "length", F.sha2("content", 256).alias("sha256")
     )
