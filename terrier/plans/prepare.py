@@ -48,9 +48,13 @@ def sales_from_lines(lines: DataFrame, largest: int | None = None) -> DataFrame:
 def prepare_sales(
     spark: SparkSession, sources: list[list[str]], out: str, departments: str | list[str] | None = None, mode: str = "overwrite"
 ) -> DataFrame:
-    """Landed sale files (one list of paths per source, archive first) to the sale table."""
+    """Landed sale files (one list of paths per source, archive first) to the sale table.
+
+    The lines in effect are staged as Parquet: collapse and report read them, not the text again.
+    """
     scans = delimited.scan_sale_lines(spark, sources)
-    lines = effective_lines([select_departments(s, departments, "code_departement") for s in scans])
+    chosen = [select_departments(s, departments, "code_departement") for s in scans]
+    lines = materialize(effective_lines(chosen), "sale-lines")
     export.write_table(sales_from_lines(lines), out, mode=mode)
     return reports.sales_report(read_table(spark, out), lines)
 
@@ -63,9 +67,16 @@ def prepare_diagnostics(
     scope: str | None = None,
     mode: str = "overwrite",
 ) -> DataFrame:
-    """Landed diagnostic pages (paths, or a table of the 21 text columns) to the diagnostic table."""
-    raw = delimited.align_labels(pages) if isinstance(pages, DataFrame) else delimited.scan_diagnostics(spark, pages)
-    raw = select_departments(raw, departments, "code_departement_ban")
+    """Landed diagnostic pages (paths, or a table of the 21 text columns) to the diagnostic table.
+
+    Pages in text form are staged as Parquet first; the guards then read one column of it, and
+    nothing is computed before they pass.
+    """
+    if isinstance(pages, DataFrame):
+        raw = select_departments(delimited.align_labels(pages), departments, "code_departement_ban")
+    else:
+        scan = select_departments(delimited.scan_diagnostics(spark, pages), departments, "code_departement_ban")
+        raw = materialize(scan, "diagnostic-pages")
     if raw.isEmpty():
         raise ValueError("no diagnostic to prepare")
     require_known_territories(raw.filter(F.col("code_departement_ban").isNotNull()), "code_departement_ban")
