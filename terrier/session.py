@@ -22,6 +22,8 @@ def build_session(app: str = "terrier", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
         .config("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
         .config("spark.sql.parquet.compression.codec", "zstd")
+        # Recording the Python call site of every column doubles the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
