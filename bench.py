@@ -11,6 +11,7 @@ import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 from terrier.registry.queries import REGISTERED
@@ -50,6 +51,7 @@ def main() -> None:
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "12g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="terrier-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

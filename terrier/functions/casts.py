@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-DATE_SHAPE = r"^\s*\d{4,}-\d{1,2}-\d{1,2}"
+# A full date and nothing else.
+DATE_SHAPE = r"^\s*\d{4,}-\d{1,2}-\d{1,2}\s*$"
 
 
 def lenient_double(text: Column) -> Column:
@@ -53,8 +54,8 @@ def strict_int(text: Column, width: str = "int") -> Column:
 
 def strict_date(text: Column) -> Column:
     if _ansi():
-        partial = F.concat(F.lit("not a full date: "), text)
-        return F.when(F.length(text) < len("2000-1-1"), partial).otherwise(text).cast("date")
+        other = F.concat(F.lit("not a full date: "), text)
+        return F.when(text.rlike(DATE_SHAPE), text).otherwise(other).cast("date")
     return _or_fail(text, lenient_date(text), "date")
 
 

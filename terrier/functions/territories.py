@@ -44,6 +44,8 @@ OVERSEAS_BOX = {
 # Land registers of these departments are not part of the sales data: no rows is normal there.
 SALES_UNCOVERED = ["57", "67", "68", "976"]
 
+#: So many unknown codes are named in a refusal, those with the most rows; it tells how many there are.
+NAMED_UNKNOWN = 20
 BOX_COLUMNS = ("lat_min", "lat_max", "lon_min", "lon_max")
 
 
@@ -80,10 +82,12 @@ def unknown_territories(df: DataFrame, dept: str = "code_departement") -> DataFr
 
 def require_known_territories(df: DataFrame, dept: str = "code_departement") -> None:
     """Refuse before any work is done rather than assume the metropolitan system."""
-    unknown = [r[dept] for r in unknown_territories(df, dept).limit(20).collect()]
-    if unknown:
+    unknown = unknown_territories(df, dept)
+    n = unknown.count()
+    if n:
+        sample = [r[dept] for r in unknown.orderBy(F.desc("rows"), dept).limit(NAMED_UNKNOWN).collect()]
         raise ValueError(
-            f"unknown territory {unknown}: its coordinate system is not on record; add it after "
+            f"{n} unknown territory code(s), among them {sample}: its coordinate system is not on record; add it after "
             "checking that a real coordinate falls inside it"
         )
 
@@ -92,10 +96,15 @@ def parse_selector(requested: str | None) -> list[str] | None:
     """``"33,40,2a"`` to codes; None (no filter) for ``all``, ``tous`` or nothing."""
     if not requested or requested.strip().lower() in ("all", "tous"):
         return None
-    return [code.strip().upper() for code in requested.split(",") if code.strip()]
+    codes = [code.strip().upper() for code in requested.split(",") if code.strip()]
+    if not codes:
+        raise ValueError(f"the selector {requested!r} names no department")
+    return codes
 
 
 def select_departments(df: DataFrame, requested: str | list[str] | None, dept: str = "dept") -> DataFrame:
     """Restrict to the requested departments; on a partitioned table this prunes partitions."""
     codes = parse_selector(requested) if isinstance(requested, str) or requested is None else requested
-    return df if not codes else df.filter(F.col(dept).isin(*codes))
+    if codes is not None and not codes:
+        raise ValueError("an empty list of departments selects nothing")
+    return df if codes is None else df.filter(F.col(dept).isin(*codes))

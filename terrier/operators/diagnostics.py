@@ -89,7 +89,8 @@ def mark_replaced(
     cites = diagnostics.filter(F.col(replaces).isNotNull())
     if scope:
         some = cites.groupBy(F.col(scope).alias("_some_scope")).agg(F.lit(True).alias("_some"))
-        marked = marked.join(some, F.col(scope).eqNullSafe(F.col("_some_scope")), "left")
+        # One row per department at most.
+        marked = marked.join(F.broadcast(some), F.col(scope).eqNullSafe(F.col("_some_scope")), "left")
         some = F.coalesce(F.col("_some"), F.lit(False))
     else:
         # Each task stops at its first citation.

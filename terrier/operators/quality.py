@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrier.functions.territories import BOX_COLUMNS, METROPOLE_BOX, territories
+from terrier.session import materialize
 
 # Levels, verdicts and thresholds of the published checks.
 OK, WARN, FAIL = "ok", "avertissement", "echec"
@@ -16,6 +17,8 @@ SALES_SOURCE = "dvf"
 MAX_VOLUME_DROP = 0.20
 MAX_OUT_OF_BOUNDS = 0.01
 
+#: So many failures are listed in a refusal; it tells how many there are.
+LISTED_FAILURES = 50
 FINDING = ["niveau", "controle", "source", "dept", "message", "detail"]
 
 
@@ -87,8 +90,10 @@ def volume_findings(stats: DataFrame) -> DataFrame:
 
 def bounds_findings(stats: DataFrame) -> DataFrame:
     """A few stray points are typing errors of the source; many are a failed reprojection."""
-    checked = stats.filter((F.col("rows") > 0) & F.col("located").isNotNull())
-    part = F.col("outside") / F.col("located")
+    boxes = F.broadcast(territories(stats.sparkSession).select("dept", *BOX_COLUMNS))
+    checked = stats.filter((F.col("rows") > 0) & F.col("located").isNotNull()).join(boxes, "dept", "left")
+    checked = checked.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in zip(BOX_COLUMNS, METROPOLE_BOX)})
+    part = F.col("outside") / F.when(F.col("located") > 0, F.col("located"))
     level = (
         F.when(F.col("located") == 0, WARN)
         .when(F.col("outside") == 0, OK)
@@ -105,6 +110,8 @@ def bounds_findings(stats: DataFrame) -> DataFrame:
         lat_max=F.col("lat_high"),
         lon_min=F.col("lon_low"),
         lon_max=F.col("lon_high"),
+        part_hors_emprise=F.round(part, 6),
+        emprise_attendue=F.concat_ws(", ", *[F.col(c).cast("string") for c in BOX_COLUMNS]),
     )
     return checked.select(
         level.alias("niveau"), F.lit("emprise").alias("controle"), "source", "dept", message.alias("message"), detail.alias("detail")
@@ -134,14 +141,20 @@ def missing(expected: DataFrame, produced: DataFrame, on: list[str]) -> DataFram
 
 
 def presence_findings(expected: DataFrame, produced: DataFrame) -> DataFrame:
-    """A whole source that was asked for and produced nothing is invisible to other checks."""
-    absent = missing(expected.select("source").distinct(), produced, ["source"])
-    message = F.concat(F.col("source"), F.lit(" : aucune donnee produite, alors que la source etait demandee"))
+    """A source, or a department of one, that was asked for and is not there at all.
+
+    Even where a register covers nothing an empty department must have been produced; only its
+    having no rows is excused, by the volume check.
+    """
+    whole = missing(expected.filter("dept IS NULL").select("source").distinct(), produced, ["source"])
+    parts = missing(expected.filter("dept IS NOT NULL").select("source", "dept").distinct(), produced, ["source", "dept"])
+    absent = parts.unionByName(whole.withColumn("dept", F.lit(None).cast("string")))
+    message = F.concat(_label(), F.lit(" : aucune donnee produite, alors que la source etait demandee"))
     return absent.select(
         F.lit(FAIL).alias("niveau"),
         F.lit("presence").alias("controle"),
         "source",
-        F.lit(None).cast("string").alias("dept"),
+        "dept",
         message.alias("message"),
         _no_detail().alias("detail"),
     )
@@ -158,7 +171,8 @@ def check(
     ``expected`` holds the (source, dept) pairs that must be there; a NULL dept only requires
     the source to have produced something.
     """
-    stats = reduce(DataFrame.unionByName, [measure(t, name, dept) for name, t in tables.items()])
+    # A row per source and department, read by up to four checks: computed once.
+    stats = materialize(reduce(DataFrame.unionByName, [measure(t, name, dept) for name, t in tables.items()]), "quality-statistics")
     filled = with_expected(stats, expected.filter("dept IS NOT NULL") if expected is not None else None)
     findings = [volume_findings(filled), bounds_findings(stats)]
     if baseline is not None:
@@ -183,9 +197,10 @@ def verdict(findings: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def require_publishable(findings: DataFrame) -> None:
     """Raises with the first failures; findings number a few per department, not per row."""
-    failures = findings.filter(F.col("niveau") == FAIL).select("controle", "message").limit(50).collect()
-    if failures:
-        listing = "; ".join(f"{f['controle']}: {f['message']}" for f in failures)
-        raise ValueError(f"export refused, {len(failures)} blocking check(s): {listing}")
-    if findings.isEmpty():
+    n, failed = findings.agg(F.count(F.lit(1)), F.count_if(F.col("niveau") == FAIL)).first()
+    if failed:
+        failures = findings.filter(F.col("niveau") == FAIL).select("controle", "message").orderBy("controle", "message")
+        listing = "; ".join(f"{f['controle']}: {f['message']}" for f in failures.limit(LISTED_FAILURES).collect())
+        raise ValueError(f"export refused, {failed} blocking check(s), the first {min(failed, LISTED_FAILURES)}: {listing}")
+    if not n:
         raise ValueError("no dataset to verify")

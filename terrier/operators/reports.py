@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrier.functions.casts import share
+from terrier.operators.sales import is_market_sale
+from terrier.sources.delimited import PRIORITY
 
 DEPT = ["code_departement"]
 
@@ -13,11 +15,26 @@ def _rows():
     return F.count(F.lit(1))
 
 
+def _lines_by_sale(lines: DataFrame, by: list[str]) -> DataFrame:
+    """Lines read, each filed where its sale is: by the smallest value among the lines kept for it,
+    or among all its lines if none was kept. One grouping on the sale, then a handful of rows."""
+    if not by:
+        return lines.agg(_rows().alias("lignes_source"))
+    sale = [c for c in (PRIORITY, "id_mutation") if c in lines.columns]
+    filed = lines.groupBy(*sale).agg(
+        *[F.coalesce(F.min(F.when(is_market_sale(), F.col(c))), F.min(c)).alias(c) for c in by if c not in sale],
+        _rows().alias("_n"),
+    )
+    return filed.groupBy(*by).agg(F.sum("_n").alias("lignes_source"))
+
+
 def sales_report(sales: DataFrame, source_lines: DataFrame | None = None, by: list[str] = DEPT) -> DataFrame:
     """Sales, lines behind them, usable and located shares, period.
 
     ``source_lines`` (lines after source precedence, before any filter) adds how many lines were
-    read and dropped; a department with lines but no sale still gets its row.
+    read and dropped; a department with lines but no sale still gets its row. A line counts in the
+    department of its sale, so that what is dropped is what was read less what was kept; lines
+    without a department, and sales without one, share a row.
     """
     counted = sales.groupBy(*by).agg(
         _rows().alias("mutations"),
@@ -29,9 +46,11 @@ def sales_report(sales: DataFrame, source_lines: DataFrame | None = None, by: li
     )
     out = [*by, "mutations", "lignes_retenues", "exploitables"]
     if source_lines is not None:
-        lines = source_lines.groupBy(*by).agg(_rows().alias("lignes_source"))
+        lines = _lines_by_sale(source_lines, by)
         if by:
-            counted = counted.join(lines, by, "full_outer")
+            read = lines.withColumnsRenamed({c: f"_read_{c}" for c in by})
+            same = [F.col(c).eqNullSafe(F.col(f"_read_{c}")) for c in by]
+            counted = counted.join(read, same, "full_outer").withColumns({c: F.coalesce(c, f"_read_{c}") for c in by})
         else:
             counted = counted.withColumn("lignes_source", lines.scalar())
         kept = F.coalesce(F.col("lignes_retenues"), F.lit(0))
@@ -131,6 +150,13 @@ def absent_sources(buildings: DataFrame | None, diagnostics: DataFrame | None) -
     return names
 
 
+def joint_warning(buildings: DataFrame | None) -> str | None:
+    """What the reader of a joint report without buildings must know."""
+    if buildings is None:
+        return "no building table: sales reach neither buildings nor diagnostics, and those columns are empty"
+    return None
+
+
 def median_price(sales: DataFrame, since_year: int = 2023, min_sales: int = 20) -> DataFrame:
     """Median price per square metre and sale count per commune, dearest first."""
     from terrier.functions.casts import to_rounded_int

@@ -36,9 +36,13 @@ SALE_COLUMNS = [
 ]
 
 
+def is_market_sale() -> Column:
+    return (F.col("nature_mutation") == MARKET_SALE) & F.col("valeur_fonciere").isNotNull()
+
+
 def market_sales(lines: DataFrame) -> DataFrame:
     """Lines with a negotiated price: exchanges, expropriations and auctions have none."""
-    return lines.filter((F.col("nature_mutation") == MARKET_SALE) & F.col("valeur_fonciere").isNotNull())
+    return lines.filter(is_market_sale())
 
 
 def typed_lines(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:

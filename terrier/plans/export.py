@@ -102,26 +102,22 @@ def sql_type(data_type: T.DataType) -> str:
 
 
 def schema_ddl(schema: T.StructType, table: str) -> str:
-    """CREATE TABLE, its indexes and how to load, derived from the schema."""
-    names = schema.fieldNames()
-    body = [f"    {f.name:34} {sql_type(f.dataType)}" for f in schema]
-    key = next((k for k in STABLE_KEYS if k in names), None)
-    if key:
-        body.append(f"    PRIMARY KEY ({key})")
-    lines = [f"CREATE TABLE IF NOT EXISTS {table} (", ",\n".join(body), ");", ""]
-    lines += [
-        f"CREATE INDEX IF NOT EXISTS {table}_{c}_idx ON {table} ({c});" for c in INDEXED if c in names
-    ]
-    lines += ["", "-- Load, before creating the indexes on a large department:"]
-    lines += [f'-- zcat *.csv.gz | psql -c "COPY {table} FROM STDIN (FORMAT csv, HEADER)"']
+    """SQL that creates a table for the CSV files, loads them and adds the indexes."""
+    columns = schema.fieldNames()
+    key = next(iter([k for k in STABLE_KEYS if k in columns]), None)
+    fields = [f"{f.name} {sql_type(f.dataType)}" + (" PRIMARY KEY" if f.name == key else "") for f in schema]
+    parts = [f"-- Table {table}: {len(columns)} columns", "", f"CREATE TABLE IF NOT EXISTS {table} (\n  " + ",\n  ".join(fields) + "\n);"]
+    # Every file has a header of its own, so files are loaded one by one.
+    load = f"COPY {table} FROM STDIN WITH (FORMAT csv, HEADER true)"
+    parts += ["", "-- To load, run in the folder of the CSV files:", f"--   for f in $(find . -name '*.csv.gz'); do gunzip -c \"$f\" | psql -c '{load}'; done"]
+    indexed = [c for c in columns if c in INDEXED]
+    if indexed:
+        parts += ["", "-- After loading:", *(f"CREATE INDEX IF NOT EXISTS {c}_of_{table} ON {table} ({c});" for c in indexed)]
     if key:
-        others = ", ".join(f"{n} = EXCLUDED.{n}" for n in names if n != key)
-        lines += [
-            "-- Next vintage: load into a staging table, then update by the stable key:",
-            f"-- INSERT INTO {table} SELECT * FROM {table}_import",
-            f"--   ON CONFLICT ({key}) DO UPDATE SET {others};",
-        ]
-    return "\n".join([*lines, ""])
+        changed = ",\n--     ".join(f"{c} = EXCLUDED.{c}" for c in columns if c != key)
+        parts += ["", f"-- A later vintage, loaded into {table}_next, updates by {key}:"]
+        parts += [f"--   INSERT INTO {table} SELECT * FROM {table}_next ON CONFLICT ({key})", f"--   DO UPDATE SET\n--     {changed};"]
+    return "\n".join(parts) + "\n"
 
 
 def schema_types(df: DataFrame) -> DataFrame:
@@ -169,7 +165,7 @@ def manifest_entries(files: DataFrame) -> DataFrame:
     """Files gathered per source with the Parquet row total. One entry per file, not per row."""
     return files.groupBy("source").agg(
         F.sort_array(F.collect_list(F.struct("fichier", "octets", "sha256", "lignes"))).alias("fichiers"),
-        F.concat("source", F.lit(".sql")).alias("ddl"),
+        F.concat(F.lit("schema/"), "source").alias("ddl"),
         F.coalesce(F.sum("lignes"), F.lit(0)).alias("lignes_totales"),
     )
 

@@ -6,6 +6,8 @@ departments.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +21,9 @@ from terrier.operators.ranking import largest_group
 from terrier.operators.sales import add_price_flag, add_sale_key, collapse, market_sales, typed_lines
 from terrier.operators.sources import prefer_later_sources, sale_match_key
 from terrier.plans import export
-from terrier.session import materialize
+from terrier.session import materialize, scratch_scope
 from terrier.sources import delimited
+from terrier.sources.delimited import path_exists
 from terrier.sources.tables import manifest_baseline, read_table, read_table_or_none
 
 
@@ -45,18 +48,34 @@ def sales_from_lines(lines: DataFrame, largest: int | None = None) -> DataFrame:
     return add_price_flag(add_sale_key(sales, largest=largest))
 
 
+def selected(table: DataFrame, departments: str | list[str] | None) -> DataFrame:
+    """Rows of a finished table that lie in the requested departments.
+
+    Applied after a collapse, a ranking or a mark, never before: those look at all departments, so
+    a row is the same whichever departments a run asks for.
+    """
+    return select_departments(table, departments, "code_departement")
+
+
+def fetched(report: DataFrame) -> DataFrame:
+    """A report (a row per department at most) that no longer depends on scratch tables."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)
+
+
 def prepare_sales(
-    spark: SparkSession, sources: list[list[str]], out: str, departments: str | list[str] | None = None, mode: str = "overwrite"
+    spark: SparkSession, sources: list[list[str]], out: str, departments: str | list[str] | None = None, mode: str = "replace"
 ) -> DataFrame:
     """Landed sale files (one list of paths per source, archive first) to the sale table.
 
-    The lines in effect are staged as Parquet: collapse and report read them, not the text again.
+    Text is parsed once: each source is staged as Parquet, and collapse and report read that. Only
+    the departments of the run are rewritten; ``mode="overwrite"`` starts the table afresh.
     """
-    scans = delimited.scan_sale_lines(spark, sources)
-    chosen = [select_departments(s, departments, "code_departement") for s in scans]
-    lines = materialize(effective_lines(chosen), "sale-lines")
-    export.write_table(sales_from_lines(lines), out, mode=mode)
-    return reports.sales_report(read_table(spark, out), lines)
+    with scratch_scope(spark):
+        scans = [materialize(s, "landed-lines") for s in delimited.scan_sale_lines(spark, sources)]
+        lines = materialize(effective_lines(scans), "sale-lines")
+        export.write_table(selected(sales_from_lines(lines), departments), out, mode=mode)
+        report = reports.sales_report(read_table(spark, out), lines)
+        return fetched(selected(report, departments))
 
 
 def prepare_diagnostics(
@@ -65,23 +84,29 @@ def prepare_diagnostics(
     out: str,
     departments: str | list[str] | None = None,
     scope: str | None = None,
-    mode: str = "overwrite",
+    mode: str = "replace",
 ) -> DataFrame:
     """Landed diagnostic pages (paths, or a table of the 21 text columns) to the diagnostic table.
 
     Pages in text form are staged as Parquet first; the guards then read one column of it, and
-    nothing is computed before they pass.
+    nothing is computed before they pass. A diagnostic may be cited from any department, so all
+    pages count for the mark even if the run asks for some departments.
     """
-    if isinstance(pages, DataFrame):
-        raw = select_departments(delimited.align_labels(pages), departments, "code_departement_ban")
-    else:
-        scan = select_departments(delimited.scan_diagnostics(spark, pages), departments, "code_departement_ban")
-        raw = materialize(scan, "diagnostic-pages")
-    if raw.isEmpty():
-        raise ValueError("no diagnostic to prepare")
-    require_known_territories(raw.filter(F.col("code_departement_ban").isNotNull()), "code_departement_ban")
-    export.write_table(prepare_diagnostic_rows(raw, scope), out, mode=mode)
-    return reports.diagnostics_report(read_table(spark, out))
+    with scratch_scope(spark):
+        if isinstance(pages, DataFrame):
+            raw = delimited.align_labels(pages)
+        else:
+            raw = materialize(delimited.scan_diagnostics(spark, pages), "diagnostic-pages")
+        wanted = select_departments(raw, departments, "code_departement_ban")
+        if wanted.isEmpty():
+            raise ValueError("no diagnostic to prepare")
+        require_known_territories(wanted.filter(F.col("code_departement_ban").isNotNull()), "code_departement_ban")
+        export.write_table(selected(prepare_diagnostic_rows(raw, scope), departments), out, mode=mode)
+        read = wanted.groupBy(F.col("code_departement_ban").alias("code_departement")).agg(F.count(F.lit(1)).alias("lignes_source"))
+        report = reports.diagnostics_report(selected(read_table(spark, out), departments))
+        same = F.col("code_departement").eqNullSafe(F.col("_read"))
+        report = report.join(read.withColumnRenamed("code_departement", "_read"), same, "left").drop("_read")
+        return fetched(report)
 
 
 def prepare_buildings(
@@ -90,16 +115,17 @@ def prepare_buildings(
     out: str,
     departments: str | list[str] | None = None,
     srid: int | None = None,
-    mode: str = "overwrite",
+    mode: str = "replace",
 ) -> tuple[DataFrame, list[str]]:
     """Building tables below ``root`` to the building table; also names the absent tables."""
     from terrier.functions.territories import parse_selector
 
-    tables = delimited.scan_building_tables(spark, root)
-    codes = parse_selector(departments) if not isinstance(departments, list) else departments
-    export.write_table(prepare_building_rows(tables, codes, srid), out, mode=mode)
-    absent = sorted(t for a, t in delimited.BUILDING_TABLES.items() if a not in tables)
-    return reports.buildings_report(read_table(spark, out)), absent
+    with scratch_scope(spark):
+        tables = delimited.scan_building_tables(spark, root)
+        codes = parse_selector(departments) if not isinstance(departments, list) else departments
+        export.write_table(prepare_building_rows(tables, codes, srid), out, mode=mode)
+        absent = sorted(t for a, t in delimited.BUILDING_TABLES.items() if a not in tables)
+        return fetched(reports.buildings_report(selected(read_table(spark, out), departments))), absent
 
 
 def prepare_joint(
@@ -108,14 +134,20 @@ def prepare_joint(
     out: str,
     buildings: str | None = None,
     diagnostics: str | None = None,
-    mode: str = "overwrite",
+    mode: str = "replace",
 ) -> tuple[DataFrame, list[str]]:
-    """Prepared tables to the joint table; also names the sources it had to do without."""
+    """Prepared tables to the joint table; also names the sources it had to do without.
+
+    Without buildings it warns: :func:`reports.joint_warning`.
+    """
     known = read_table_or_none(spark, buildings)
     energy = read_table_or_none(spark, diagnostics)
-    joint = enrich_sales(read_table(spark, sales).drop("dept"), known, energy)
-    export.write_table(joint, out, mode=mode)
-    return reports.joint_report(read_table(spark, out)), reports.absent_sources(known, energy)
+    if warning := reports.joint_warning(known):
+        warnings.warn(warning, stacklevel=2)
+    with scratch_scope(spark):
+        joint = enrich_sales(read_table(spark, sales).drop("dept"), known, energy)
+        export.write_table(joint, out, mode=mode)
+        return fetched(reports.joint_report(read_table(spark, out))), reports.absent_sources(known, energy)
 
 
 def verify(
@@ -133,6 +165,27 @@ def verify(
     if expected is None:
         expected = spark.createDataFrame([(s, None) for s in sources], "source string, dept string")
     baseline = manifest_baseline(spark.read.text(manifest_path, wholetext=True)) if manifest_path else None
-    findings = check(tables, expected, baseline)
+    with scratch_scope(spark):
+        findings = fetched(check(tables, expected, baseline))
     require_publishable(findings)
     return findings
+
+
+def publish(
+    spark: SparkSession,
+    out: str,
+    sources: list[str],
+    vintage: str,
+    expected: DataFrame | None = None,
+    manifest_path: str | None = None,
+    unchecked: bool = False,
+) -> DataFrame:
+    """Exports what is below ``out`` once it has passed :func:`verify`, and returns the manifest.
+
+    ``unchecked`` is the explicit way round a refusal. A source that was not prepared fails the
+    check; where that is overridden it is passed over.
+    """
+    if not unchecked:
+        verify(spark, out, sources, expected, manifest_path)
+    there = [s for s in sources if path_exists(spark, f"{out}/{s}")]
+    return export.publish(spark, out, there, vintage)

@@ -17,7 +17,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def code(value: Column, width: int) -> Column:
-    return F.lpad(value.cast("string"), width, "0")
+    """Zeros in front up to ``width``; a longer number stays whole."""
+    digits = value.cast("string")
+    return F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits)
 
 
 def prefixed(prefix: str, value: Column, width: int = 8) -> Column:

@@ -17,7 +17,7 @@ from terrier.operators.joint import enrich_sales
 from terrier.operators.ranking import largest_group
 from terrier.operators.sources import prefer_later_sources, reconcile, sale_match_key, upsert
 from terrier.plans import export
-from terrier.plans.prepare import effective_lines, sales_from_lines
+from terrier.plans.prepare import effective_lines, sales_from_lines, selected
 from terrier.registry import analogues as an
 from terrier.session import materialize, scratch_path
 from terrier.sources import delimited, landing
@@ -329,7 +329,7 @@ def sale_enrichment(spark: SparkSession, sf: str) -> DataFrame:
 def nearest_diagnostic(spark: SparkSession, sf: str) -> DataFrame:
     """A hundred diagnostics per commune, of which each sale takes the nearest in time."""
     offered = diagnostics(spark, sf).filter(~F.coalesce("est_remplace", F.lit(False))).select(
-        an.code(F.substring("numero_dpe", 2, 6).cast("long") % 36000, 5).alias("code_commune"), "date_dpe", "numero_dpe"
+        an.code(F.expr("cast(substring(numero_dpe, 2) as bigint) div 100 % 36000"), 5).alias("code_commune"), "date_dpe", "numero_dpe"
     )
     sales = collapsed(spark, sf).select("id_mutation", "code_commune", "date_mutation")
     found = nearest_in_time(sales, offered, "code_commune", "date_mutation", "date_dpe", ["numero_dpe"])
@@ -432,6 +432,12 @@ def stable_sale_key(spark: SparkSession, sf: str) -> DataFrame:
     return full_sales(spark, sf).select("id_mutation", "cle_vente")
 
 
+def selected_sales(spark: SparkSession, sf: str) -> DataFrame:
+    """The sale table of three departments: the same rows and keys as in the full run."""
+    chosen = selected(full_sales(spark, sf), "03, 7,07,11")
+    return chosen.select("id_mutation", "cle_vente", "code_departement")
+
+
 def twin_sale_key(spark: SparkSession, sf: str) -> DataFrame:
     """A coarse fingerprint (day and price band), so that many sales share one."""
     band = F.floor(F.col("valeur_fonciere") / 100000).cast("string")
@@ -509,7 +515,7 @@ def missing_partitions_query(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("dpe").alias("source"), F.col("code_departement_ban").alias("dept")
     )
     kept = an.building_tables(spark, sf)["topo"].select(
-        F.lit("dpe").alias("source"), an.code(F.substring("batiment_groupe_id", 2, 8).cast("long") % 19 + 1, 2).alias("dept")
+        F.lit("dpe").alias("source"), an.code(F.expr("cast(substring(batiment_groupe_id, 2) as bigint) % 19 + 1"), 2).alias("dept")
     ).filter(F.col("dept") < "10")
     return missing_partitions(requested, existing.unionByName(kept))
 
@@ -631,12 +637,15 @@ def stream_page_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_upsert_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as versions of one row per user; the last one of each user stays."""
+    """Events as versions of one row per user; the last one of each user stays.
+
+    Some users have no key, whose events all stay, and some no department.
+    """
     schema = an.table(spark, sf, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     versions = events.select(
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("cle_vente"),
-        an.code(F.col("user_id") % 19 + 1, 2).alias("dept"),
+        an.nothing_if(F.col("user_id") % 53 == 0, F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("cle_vente"),
+        an.nothing_if(F.col("user_id") % 31 == 0, an.code(F.col("user_id") % 19 + 1, 2)).alias("dept"),
         F.col("event_id"),
         F.col("event_type").alias("type_local"),
     )
@@ -695,6 +704,7 @@ REGISTERED = {
     "source_precedence": source_precedence,
     "consolidated_sales": consolidated_sales,
     "stable_sale_key": stable_sale_key,
+    "selected_sales": selected_sales,
     "twin_sale_key": twin_sale_key,
     "vintage_reconciliation": vintage_reconciliation,
     "write_roundtrip": write_roundtrip,

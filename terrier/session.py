@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scopes: list[list[str]] = []
+
 
 def build_session(app: str = "terrier", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs were designed for.
@@ -35,10 +40,35 @@ def build_session(app: str = "terrier", master: str | None = None, **conf: str)
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) does a local folder stand in.
+    Only where the session names none and all tasks run in this process (tests, a laptop) does a
+    local folder stand in; on a cluster every executor would write to a disk of its own.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir names no shared folder, which {master} needs for intermediate tables")
+        root = tempfile.mkdtemp(prefix="terrier-")
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for scope in _scopes[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the scratch tables written inside the block when it ends, well or not.
+
+    Nothing lazy that reads them may leave the block.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="terrier-")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for name in _scopes.pop():
+            path = hadoop.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

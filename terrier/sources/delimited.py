@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrier.sources import landing
@@ -149,30 +150,18 @@ def complete_sale_lines(df: DataFrame) -> DataFrame:
 
 
 def align_labels(df: DataFrame, expected: list[str] = DIAGNOSTIC_COLUMNS) -> DataFrame:
-    """Columns under their expected names, whatever separators their labels use.
+    """The expected columns as text, found by the letters and digits of their labels.
 
-    Exports print some labels with a space or a hyphen where the key has an underscore. A
-    missing column becomes NULL text; when more than half are missing the export is refused.
+    Labels and keys of one export differ in case and in what stands between the words. What is not
+    there becomes NULL text; a table with less than half of the columns is another kind of table.
     """
-
-    def plain(label: str) -> str:
-        return label.replace(" ", "_").replace("-", "_").lower()
-
-    actual = {plain(c): c for c in df.columns}
-    absent = [c for c in expected if plain(c) not in actual]
-    if len(absent) > len(expected) // 2:
-        raise ValueError(
-            f"hardly any expected column in the export ({', '.join(absent[:5])} ... missing): "
-            "the format of the source has probably changed"
-        )
-    return df.select(
-        *[
-            F.lit(None).cast("string").alias(c)
-            if c in absent
-            else F.col(f"`{actual[plain(c)]}`").cast("string").alias(c)
-            for c in expected
-        ]
-    )
+    by_letters = {re.sub(r"[\s_-]", "", name).casefold(): name for name in df.columns}
+    source = {name: by_letters.get(name.replace("_", "").casefold()) for name in expected}
+    found = [name for name in expected if source[name] is not None]
+    if 2 * len(found) < len(expected):
+        raise ValueError(f"only {len(found)} of {len(expected)} diagnostic columns recognised ({', '.join(found) or 'none'})")
+    columns = [F.col(f"`{source[name]}`") if source[name] else F.lit(None) for name in expected]
+    return df.select(*[column.cast("string").alias(name) for column, name in zip(columns, expected)])
 
 
 def scan_diagnostics(spark: SparkSession, paths: list[str], pattern: str | None = None) -> DataFrame:
@@ -185,30 +174,26 @@ def scan_diagnostics(spark: SparkSession, paths: list[str], pattern: str | None
     return reduce(DataFrame.unionByName, parts)
 
 
-def records_as_text(df: DataFrame) -> DataFrame:
-    """Typed records (landed JSON pages) as the 21 text columns."""
-    return align_labels(df)
-
+def separator_of(line: Column) -> Column:
+    """Of the known separators the one that cuts a header line into most fields, NULL if none cuts it.
 
-def header_separator(header: str, name: str) -> str:
-    """The most frequent candidate in the header, the one line free of quoted fields."""
-    counts = {sep: header.count(sep) for sep in landing.SEPARATORS}
-    best = max(counts, key=counts.get)
-    if counts[best] == 0:
-        raise ValueError(f"no known separator in the header of {name}: {header[:120]!r}")
-    return best
+    Column names hold no separator, so the header tells what the data, with their quoted fields,
+    might not. Between equals the one listed first wins.
+    """
+    order = len(landing.SEPARATORS)
+    ranked = [F.struct((F.length(line) - F.length(F.replace(line, F.lit(s)))).alias("cuts"), F.lit(order - i).alias("turn"), F.lit(s).alias("sep")) for i, s in enumerate(landing.SEPARATORS)]
+    best = F.greatest(*ranked)
+    return F.when(best["cuts"] > 0, best["sep"])
 
 
 def scan_with_dialect(spark: SparkSession, path: str) -> DataFrame:
-    """A table whose separator is read from its header, never guessed from the data."""
-    header = spark.read.text(path).limit(1).collect()
-    if not header:
-        raise ValueError(f"{path} is empty")
-    sep = header_separator(header[0]["value"], path)
-    table = read_text_table(spark, path, sep)
-    if len(table.columns) == 1:
-        raise ValueError(f"{path} was not split into columns by {sep!r}: only one column read")
-    return table
+    """A table read by the separator that its own header line shows."""
+    top = spark.read.text(path).limit(1).select(separator_of(F.col("value")).alias("sep"), "value").first()
+    if top is None:
+        raise ValueError(f"{path} has no header line")
+    if top["sep"] is None:
+        raise ValueError(f"the header of {path} holds no known separator of {landing.SEPARATORS}: {top['value'][:80]!r}")
+    return read_text_table(spark, path, top["sep"])
 
 
 def scan_building_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:

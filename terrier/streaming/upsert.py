@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from terrier.operators.ranking import best_per_group
 from terrier.operators.sources import upsert
-from terrier.session import materialize
+from terrier.session import materialize, scratch_scope
 from terrier.sources.delimited import path_exists
 
 VERSION = "version"
@@ -39,14 +39,25 @@ def current_rows(spark: SparkSession, root: str, schema: T.StructType, before: i
     fields = [f for f in schema if f.name not in (VERSION, DEPT)]
     full = T.StructType([*fields, T.StructField(VERSION, T.LongType()), T.StructField(DEPT, T.StringType())])
     rows = spark.read.schema(full).option("basePath", root).parquet(root)
-    return rows.join(last_versions(spark, root, before), [DEPT, VERSION], "left_semi")
+    last = last_versions(spark, root, before).toDF("_dept", "_version")
+    return rows.join(last, F.col(DEPT).eqNullSafe(F.col("_dept")) & (F.col(VERSION) == F.col("_version")), "left_semi")
 
 
 def apply_batch(batch: DataFrame, version: int, root: str, key: str, newest: list[Column]) -> None:
-    """Merges one batch into the table as ``version``."""
+    """Merges one batch into the table as ``version``.
+
+    Rows without a key replace nothing and are replaced by nothing: all of them are added. Rows
+    without a department are a partition of their own.
+    """
+    with scratch_scope(batch.sparkSession):
+        _merge(batch, version, root, key, newest)
+
+
+def _merge(batch: DataFrame, version: int, root: str, key: str, newest: list[Column]) -> None:
     spark = batch.sparkSession
+    keyed = best_per_group(batch.filter(F.col(key).isNotNull()), [key], newest)
     # The input of a micro-batch is read several times below; write it down once.
-    changes = materialize(best_per_group(batch, [key], newest), "upsert-batch")
+    changes = materialize(keyed.unionByName(batch.filter(F.col(key).isNull())), "upsert-batch")
     merged = changes
     touched = changes.select(DEPT)
     if path_exists(spark, _log(root)):
@@ -54,7 +65,8 @@ def apply_batch(batch: DataFrame, version: int, root: str, key: str, newest: lis
         # A key may have been filed under another department before.
         moved = held.join(changes.select(key), key, "left_semi").select(DEPT)
         touched = touched.unionByName(moved)
-        affected = held.join(touched.distinct(), DEPT, "left_semi").drop(VERSION)
+        there = touched.distinct().toDF("_touched")
+        affected = held.join(there, F.col(DEPT).eqNullSafe(F.col("_touched")), "left_semi").drop(VERSION)
         merged = upsert(affected, changes, key)
     (
         merged.hint("rebalance", DEPT)

@@ -23,8 +23,8 @@ def rows(df):
 
 def test_principal_link_wins_the_parcel(tables):
     got = rows(prepare_building_rows(tables))
-    assert got["BG2"]["parcelle_id"] == "33063000AB0001" and got["BG1"]["parcelle_id"] is None
-    assert got["BG3"]["parcelle_id"] == "48095000AC0002"
+    assert got["H11"]["parcelle_id"] == "64024000BK0033" and got["H10"]["parcelle_id"] is None
+    assert got["H12"]["parcelle_id"] == "15101000ZD0310"
 
 
 def test_dwellings_break_ties_and_nulls_come_last(spark):
@@ -38,27 +38,27 @@ def test_dwellings_break_ties_and_nulls_come_last(spark):
 
 
 def test_department_filter_restricts_parcels(tables):
-    got = rows(prepare_building_rows(tables, ["48"]))
-    assert set(got) == {"BG3"}
+    got = rows(prepare_building_rows(tables, ["15"]))
+    assert set(got) == {"H12"}
 
 
 def test_optional_tables(tables):
-    row = rows(prepare_building_rows({k: tables[k] for k in ("groupe", "ffo")}))["BG1"]
+    row = rows(prepare_building_rows({k: tables[k] for k in ("groupe", "ffo")}))["H10"]
     assert row["classe_dpe"] is None and row["hauteur_moyenne"] is None and row["parcelle_id"] is None
     assert list(row.asDict()) == BUILDING_OUTPUT
 
 
 def test_lenient_columns(tables):
     got = rows(star(tables))
-    assert got["BG2"]["emprise_sol"] == 41 and got["BG2"]["annee_construction"] is None and got["BG1"]["annee_construction"] == 1905
+    assert got["H11"]["emprise_sol"] == 62 and got["H11"]["annee_construction"] is None and got["H10"]["annee_construction"] == 1934
 
 
 def test_job_and_report(spark, tmp_path):
     report, absent = prepare_buildings(spark, write_buildings(tmp_path / "csv"), str(tmp_path / "out"))
     assert absent == ["batiment_groupe_bdtopo_bat", "batiment_groupe_dpe_representatif_logement"]
     total = buildings_report(read_table(spark, str(tmp_path / "out")), by=[]).first()
-    assert (total["batiments"], total["logements"], total["part_rattachee_parcelle"], total["part_avec_geometrie"]) == (3, 17, 66.7, 66.7)
-    assert {r["code_departement"]: r["batiments"] for r in report.collect()} == {"33": 2, "48": 1}
+    assert (total["batiments"], total["logements"], total["part_rattachee_parcelle"], total["part_avec_geometrie"]) == (3, 13, 66.7, 66.7)
+    assert {r["code_departement"]: r["batiments"] for r in report.collect()} == {"64": 2, "15": 1}
 
 
 def test_mandatory_tables_and_separators(spark, tmp_path):

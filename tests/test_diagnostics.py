@@ -139,7 +139,7 @@ def test_label_alignment(spark, tmp_path):
 
 
 def test_refusals(spark, tmp_path):
-    with pytest.raises(ValueError, match="format"):
+    with pytest.raises(ValueError, match="recognised"):
         delimited.align_labels(spark.createDataFrame([("1", "2")], "colonne_a string, colonne_b string"))
     with pytest.raises(ValueError, match="unknown territory"):
         prepare_diagnostics(spark, diagnostics(spark, [{"code_departement_ban": "999"}]), str(tmp_path / "o"))
@@ -154,7 +154,7 @@ def test_refusals(spark, tmp_path):
 def test_records_are_read_as_text(spark):
     typed = spark.createDataFrame([("1", "a", 0.75, 12, "75")], "numero_dpe string, etiquette_dpe string, score_ban double, annee_construction int, code_departement_ban string")
     full = typed.select("*", *[F.lit(None).alias(c) for c in delimited.DIAGNOSTIC_COLUMNS if c not in typed.columns])
-    row = delimited.records_as_text(full).first()
+    row = delimited.align_labels(full).first()
     assert (row["score_ban"], row["annee_construction"]) == ("0.75", "12")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fixtures import DIAGNOSTIC, LINE_COLUMNS, SALE, write_buildings, write_csv
 from terrier.plans import export
-from terrier.plans.prepare import prepare_buildings, prepare_diagnostics, prepare_joint, prepare_sales, verify
+from terrier.plans.prepare import prepare_buildings, prepare_diagnostics, prepare_joint, prepare_sales, publish, verify
 from terrier.sources import delimited, landing
 from terrier.sources.tables import manifest_baseline, produced, read_table
 
@@ -32,7 +32,8 @@ SCHEMA = T.StructType(
 
 def test_ddl():
     ddl = export.schema_ddl(SCHEMA, "dvf")
-    lines = {line.split()[0]: " ".join(line.split()[1:]).rstrip(",") for line in ddl.splitlines() if line.startswith("    ")}
+    body = ddl[ddl.index("(\n") + 2 : ddl.index("\n);")]
+    lines = {line.split()[0]: " ".join(line.split()[1:]).rstrip(",") for line in body.splitlines()}
     assert lines == {
         "id_mutation": "text",
         "date_mutation": "date",
@@ -44,9 +45,9 @@ def test_ddl():
         "marque": "boolean",
         "qualite_prix_m2": "text",
     }
-    assert "dvf_code_commune_idx" in ddl and "batiment_groupe_id" not in ddl and "PRIMARY KEY" not in ddl
+    assert "ON dvf (code_commune)" in ddl and "for f in" in ddl and "batiment_groupe_id" not in ddl and "PRIMARY KEY" not in ddl
     keyed = export.schema_ddl(T.StructType([*SCHEMA, T.StructField("cle_vente", T.StringType())]), "dvf")
-    assert "PRIMARY KEY (cle_vente)" in keyed and "ON CONFLICT (cle_vente)" in keyed
+    assert "cle_vente text PRIMARY KEY" in keyed and "ON CONFLICT (cle_vente)" in keyed
     assert export.sql_type(T.BinaryType()) == "bytea" and export.sql_type(T.ArrayType(T.StringType())) == "text"
     assert export.sql_type(T.TimestampType()) == "timestamptz" and export.sql_type(T.TimestampNTZType()) == "timestamp"
 
@@ -141,8 +142,8 @@ def test_whole_chain(spark, tmp_path):
         tmp_path / "raw" / "48.csv",
         LINE_COLUMNS,
         [
-            {**SALE, "id_mutation": "1", "id_parcelle": "48095000AC0002", "date_mutation": "2022-08-01"},
-            {**SALE, "id_mutation": "2", "code_departement": "33", "code_commune": "33063", "id_parcelle": "33063000AB0001", "latitude": "44.8", "longitude": "-0.6"},
+            {**SALE, "id_mutation": "1", "id_parcelle": "15101000ZD0310", "date_mutation": "2022-08-01"},
+            {**SALE, "id_mutation": "2", "code_departement": "64", "code_commune": "64024", "id_parcelle": "64024000BK0033", "latitude": "43.3", "longitude": "-0.4"},
         ],
     )
     prepare_sales(spark, [[lines]], f"{out}/dvf")
@@ -152,27 +153,28 @@ def test_whole_chain(spark, tmp_path):
     write_csv(
         tmp_path / "csv" / "batiment_groupe_dpe_representatif_logement.csv",
         ["batiment_groupe_id", "identifiant_dpe", "classe_bilan_dpe", "classe_emission_ges", "conso_5_usages_ep_m2"],
-        [{"batiment_groupe_id": "BG3", "identifiant_dpe": "D3", "classe_bilan_dpe": "e"}, {"batiment_groupe_id": "BG2", "identifiant_dpe": "D9", "classe_bilan_dpe": "f"}],
+        [{"batiment_groupe_id": "H12", "identifiant_dpe": "D3", "classe_bilan_dpe": "e"}, {"batiment_groupe_id": "H11", "identifiant_dpe": "D9", "classe_bilan_dpe": "f"}],
         ";",
     )
     prepare_buildings(spark, root, f"{out}/bdnb")
     report, absent = prepare_joint(spark, f"{out}/dvf", f"{out}/joint", f"{out}/bdnb", f"{out}/dpe")
-    assert absent == [] and {r["code_departement"]: r["part_energie_depuis_ademe"] for r in report.collect()} == {"48": 100.0, "33": 0.0}
+    assert absent == [] and {r["code_departement"]: r["part_energie_depuis_ademe"] for r in report.collect()} == {"15": 100.0, "64": 0.0}
     joint = {r["id_mutation"]: r for r in read_table(spark, f"{out}/joint").collect()}
     assert (joint["1"]["classe_dpe"], joint["1"]["source_dpe"]) == ("D", "ademe")
-    assert (joint["2"]["batiment_groupe_id"], joint["2"]["classe_dpe"], joint["2"]["source_dpe"]) == ("BG2", "F", "bdnb")
+    assert (joint["2"]["batiment_groupe_id"], joint["2"]["classe_dpe"], joint["2"]["source_dpe"]) == ("H11", "F", "bdnb")
 
     sources = ["dvf", "dpe", "bdnb", "joint"]
-    verify(spark, out, sources)
-    text = export.publish(spark, out, sources, "2026-01")
+    with pytest.raises(ValueError, match="refused"):
+        publish(spark, out, [*sources, "autre"], "2026-01")
+    text = publish(spark, out, sources, "2026-01")
     manifest = json.loads(text.first()["value"])
     entry = manifest["sources"]["dvf"]
-    assert entry["lignes_totales"] == 2 and entry["ddl"] == "dvf.sql" and len(entry["fichiers"]) == 4
+    assert entry["lignes_totales"] == 2 and entry["ddl"] == "schema/dvf" and len(entry["fichiers"]) == 4
     assert all(len(f["sha256"]) == 64 and f["octets"] > 0 for f in entry["fichiers"])
     baseline = {(r["source"], r["dept"]): r["lignes"] for r in manifest_baseline(text).collect()}
-    assert baseline[("dvf", "48")] == 1 and baseline[("bdnb", "33")] == 2
+    assert baseline[("dvf", "15")] == 1 and baseline[("bdnb", "64")] == 2
     verify(spark, out, sources, manifest_path=f"{out}/manifest")
     ddl = "\n".join(r["value"] for r in spark.read.text(f"{out}/schema/dvf").collect())
-    assert "PRIMARY KEY (cle_vente)" in ddl and " dept " not in ddl
+    assert "cle_vente text PRIMARY KEY" in ddl and " dept " not in ddl
     with pytest.raises(ValueError, match="refused"):
         verify(spark, out, [*sources, "autre"])

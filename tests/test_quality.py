@@ -49,6 +49,9 @@ def test_volume_and_presence(spark):
         ("volume", "dvf", "33"): "echec",
         ("volume", "dpe", "67"): "echec",
         ("emprise", "dvf", "48"): "ok",
+        ("presence", "dvf", "67"): "echec",
+        ("presence", "dvf", "33"): "echec",
+        ("presence", "dpe", "67"): "echec",
         ("presence", "dpe", None): "echec",
         ("presence", "bdnb", None): "echec",
     }
@@ -129,3 +132,16 @@ def test_data_date_counts(spark):
     rows = [("a", "2026-07-01", "2026-05-01", 15471503), ("b", None, "2026-05-01", 3), ("c", None, None, 3), ("d", "", "2026-05-01", None)]
     got = {r["source"]: r["etag"] for r in dataset_marks(spark.createDataFrame(rows, "source string, dataUpdatedAt string, updatedAt string, count long")).collect()}
     assert got == {"a": "2026-07-01:15471503", "b": "2026-05-01:3", "c": None, "d": "2026-05-01:None"}
+
+
+def test_refusals_count_all_failures(spark):
+    tables = {"dvf": spark.createDataFrame([("48", 44.5, 3.5)], POINTS)}
+    expected = pairs(spark, *[("dpe", f"{n:03d}") for n in range(120)], ("dvf", "57"))
+    with pytest.raises(ValueError, match=r"refused, 241 blocking check\(s\), the first 50"):
+        quality.require_publishable(quality.check(tables, expected))
+
+
+def test_bounds_name_the_expected_box(spark):
+    stats = quality.measure(spark.createDataFrame([("971", 16.0, -61.5), ("971", 0.0, 0.0)], POINTS), "dvf")
+    detail = quality.bounds_findings(stats).first()["detail"]
+    assert detail["emprise_attendue"] == "15.7, 18.2, -63.2, -60.9" and detail["part_hors_emprise"] == "0.5"

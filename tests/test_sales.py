@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ def test_collapse_and_flags(spark):
     first = sales["2024-1"]
     assert (first["valeur_fonciere"], first["surface_bati"], first["nb_parcelles"], first["nb_lignes"]) == (300000, 150, 2, 2)
     assert sales["2024-2"]["qualite_prix_m2"] == "sans_surface" and sales["2024-2"]["prix_m2"] is None
-    assert sales["2024-3"]["qualite_prix_m2"] == "ok" and sales["2024-3"]["prix_m2"] == 4166.67
+    assert sales["2024-3"]["qualite_prix_m2"] == "ok" and sales["2024-3"]["prix_m2"] == 4100.0
     assert sales["2024-5"]["qualite_prix_m2"] == "prix_m2_haut" and sales["2024-5"]["prix_m2"] == 90000
 
 
@@ -52,7 +54,7 @@ def test_report_of_no_sale(spark):
     row = sales_report(sales_from_lines(lines), lines, by=[]).first()
     assert (row["mutations"], row["lignes_ecartees"], row["part_exploitable"]) == (0, 1, None)
     row = sales_report(sales_from_lines(lines), lines).first()
-    assert (row["code_departement"], row["mutations"], row["lignes_ecartees"]) == ("48", 0, 1)
+    assert (row["code_departement"], row["mutations"], row["lignes_ecartees"]) == ("15", 0, 1)
 
 
 def test_codes_stay_text(spark):
@@ -65,21 +67,21 @@ def test_quoted_comma_after_plain_file(spark, tmp_path):
     quoted = write_csv(
         tmp_path / "b.csv",
         LINE_COLUMNS,
-        [{**SALE, "id_mutation": "2", "adresse_nom_voie": 'RTE D "AIGRE" , LES CHATELETS', "valeur_fonciere": "10000", "surface_reelle_bati": "66", "nom_commune": "Oradour"}],
+        [{**SALE, "id_mutation": "2", "adresse_nom_voie": 'CHEMIN "DU BAS", LE PRE', "valeur_fonciere": "10000", "surface_reelle_bati": "66", "nom_commune": "Coteaux"}],
     )
     prepare_sales(spark, [[plain, quoted]], str(tmp_path / "out"))
-    sale = next(r for r in read_table(spark, str(tmp_path / "out")).collect() if r["nom_commune"] == "Oradour")
+    sale = next(r for r in read_table(spark, str(tmp_path / "out")).collect() if r["nom_commune"] == "Coteaux")
     assert (sale["valeur_fonciere"], sale["surface_bati"]) == (10000, 66)
 
 
 def test_two_communes_one_sale(spark):
     rows = [
-        {**SALE, "id_mutation": "9", "valeur_fonciere": "18000", "code_commune": "48040", "nom_commune": "Chastel", "surface_reelle_bati": "80"},
-        {**SALE, "id_mutation": "9", "valeur_fonciere": "18000", "code_commune": "48082", "nom_commune": "Ribennes", "surface_reelle_bati": "20"},
+        {**SALE, "id_mutation": "9", "valeur_fonciere": "27000", "code_commune": "15040", "nom_commune": "Amont", "surface_reelle_bati": "80"},
+        {**SALE, "id_mutation": "9", "valeur_fonciere": "27000", "code_commune": "15082", "nom_commune": "Aval", "surface_reelle_bati": "20"},
     ]
     sales = by_id(sales_from_lines(sale_lines(spark, rows)))
     assert len(sales) == 1
-    assert (sales["9"]["valeur_fonciere"], sales["9"]["surface_bati"], sales["9"]["nb_communes"], sales["9"]["nom_commune"]) == (18000, 100, 2, "Chastel")
+    assert (sales["9"]["valeur_fonciere"], sales["9"]["surface_bati"], sales["9"]["nb_communes"], sales["9"]["nom_commune"]) == (27000, 100, 2, "Amont")
 
 
 def test_null_attribute_on_most_built_line(spark):
@@ -100,7 +102,7 @@ def test_null_type_with_area_is_not_a_non_dwelling(spark):
 
 def test_key_ignores_the_identifier(spark):
     keys = {
-        sales_from_lines(sale_lines(spark, [{**SALE, "id_mutation": i}])).first()["cle_vente"] for i in ("2020-821256", "2020-823183")
+        sales_from_lines(sale_lines(spark, [{**SALE, "id_mutation": i}])).first()["cle_vente"] for i in ("2019-100", "2019-200")
     }
     assert len(keys) == 1
 
@@ -109,7 +111,7 @@ def test_key_text_of_large_prices(spark):
     import hashlib
 
     row = sales_from_lines(sale_lines(spark, [{**SALE, "id_mutation": "1", "valeur_fonciere": "12500000"}])).first()
-    expected = hashlib.md5(b"2020-03-04|12500000.0|48095000AB0012").hexdigest()
+    expected = hashlib.md5(b"2019-10-21|12500000.0|15101000ZD0207").hexdigest()
     assert row["cle_vente"] == f"{expected}-01"
 
 
@@ -131,7 +133,7 @@ def sources(spark, archive, official):
 def test_official_source_wins(spark):
     both = sources(
         spark,
-        [{**SALE, "id_mutation": "2020-1", "surface_reelle_bati": "90", "valeur_fonciere": "250000.0"}],
+        [{**SALE, "id_mutation": "2020-1", "surface_reelle_bati": "82", "valeur_fonciere": "246000.0"}],
         [{**SALE, "id_mutation": "2020-999", "surface_reelle_bati": "95"}],
     )
     sales = by_id(sales_from_lines(effective_lines(both)))
@@ -151,7 +153,7 @@ def test_partial_overlap_and_null_keys(spark):
     none = {**SALE, "code_commune": None, "valeur_fonciere": None}
     both = sources(
         spark,
-        [{**none, "id_mutation": "a"}, {**SALE, "id_mutation": "x", "code_commune": "48001"}, {**SALE, "id_mutation": "x"}],
+        [{**none, "id_mutation": "a"}, {**SALE, "id_mutation": "x", "code_commune": "15001"}, {**SALE, "id_mutation": "x"}],
         [{**none, "id_mutation": "b"}, {**SALE, "id_mutation": "y"}, {**SALE, "id_mutation": "y", "id_parcelle": "Z"}],
     )
     kept = prefer_later_sources(both, sale_match_key(), tag="p").groupBy("p", "id_mutation").count().collect()
@@ -168,7 +170,7 @@ def test_scan_aligns_by_name_and_guards(spark, tmp_path):
     plain = write_csv(tmp_path / "2021" / "48.csv", LINE_COLUMNS, [{**SALE, "id_mutation": "2"}])
     rows = {r["id_mutation"]: r for r in delimited.scan_by_name(spark, [wide, plain]).collect()}
     assert rows["1"]["annee"] == "2020" and rows["2"]["annee"] is None
-    assert rows["1"]["nom_commune"] == rows["2"]["nom_commune"] == "Mende"
+    assert rows["1"]["nom_commune"] == rows["2"]["nom_commune"] == "Vallonet"
     with pytest.raises(ValueError, match="not split"):
         delimited.check_sale_lines(spark.createDataFrame([("a",)], "x string"))
     with pytest.raises(ValueError, match="missing"):
@@ -218,10 +220,10 @@ def test_median_matches_sorting(spark):
 
 
 def test_median_price_needs_enough_sales(spark):
-    rows = [{**SALE, "id_mutation": str(i), "date_mutation": "2023-05-01", "valeur_fonciere": str(90000 + 9000 * i)} for i in range(21)]
+    rows = [{**SALE, "id_mutation": str(i), "date_mutation": "2023-05-01", "valeur_fonciere": str(82000 + 8200 * i)} for i in range(21)]
     rows += [{**SALE, "id_mutation": f"r{i}", "date_mutation": "2023-05-01", "nom_commune": "Rare"} for i in range(3)]
     got = median_price(sales_from_lines(sale_lines(spark, rows))).collect()
-    assert [tuple(r) for r in got] == [("Mende", 2000, 21)]
+    assert [tuple(r) for r in got] == [("Vallonet", 2000, 21)]
 
 
 def test_line_counts_add_up(spark):
@@ -234,3 +236,80 @@ def test_line_counts_add_up(spark):
     sales = full_sales(spark, sf).select("nb_lignes", "cle_vente").collect()
     assert sum(r["nb_lignes"] for r in sales) == market_sales(an.sale_lines(spark, sf)).count()
     assert len({r["cle_vente"] for r in sales}) == len(sales)
+
+
+SPANNING = [
+    {**SALE, "id_mutation": "1", "code_departement": "03", "id_parcelle": "a"},
+    {**SALE, "id_mutation": "1", "code_departement": "63", "id_parcelle": "b"},
+    {**SALE, "id_mutation": "1", "code_departement": "63", "nature_mutation": "Echange"},
+    {**SALE, "id_mutation": "2", "code_departement": "63"},
+    {**SALE, "id_mutation": "3", "code_departement": "63", "nature_mutation": "Echange"},
+    {**SALE, "id_mutation": "4", "code_departement": None},
+]
+
+
+def test_lines_count_where_their_sale_is(spark):
+    lines = sale_lines(spark, SPANNING)
+    got = {r["code_departement"]: (r["mutations"], r["lignes_source"], r["lignes_ecartees"]) for r in sales_report(sales_from_lines(lines), lines).collect()}
+    assert got == {"03": (1, 3, 1), "63": (1, 2, 1), None: (1, 1, 0)}
+
+
+def test_line_report_of_whole_tables(spark):
+    from terrier.registry import analogues as an
+    from terrier.registry.queries import sales_report as registered
+
+    sf = "/root/testdata/sf0.001"
+    rows = registered(spark, sf).collect()
+    assert all(r["lignes_ecartees"] >= 0 for r in rows)
+    assert sum(r["lignes_source"] for r in rows) == an.sale_lines(spark, sf).count()
+
+
+def test_departments_are_prepared_one_after_the_other(spark, tmp_path):
+    rows = [{k: v for k, v in r.items() if v is not None} for r in SPANNING]
+    path, out = write_csv(tmp_path / "a.csv", LINE_COLUMNS, rows), str(tmp_path / "out")
+    report = prepare_sales(spark, [[path]], out, departments="63")
+    assert [(r["code_departement"], r["mutations"]) for r in report.collect()] == [("63", 1)]
+    prepare_sales(spark, [[path]], out, departments="3,03")
+    got = {r["id_mutation"]: (r["dept"], r["nb_lignes"]) for r in read_table(spark, out).collect()}
+    assert got == {"1": ("03", 2), "2": ("63", 1)}
+    with pytest.raises(ValueError, match="names no department"):
+        prepare_sales(spark, [[path]], out, departments=",")
+
+
+def test_scratch_tables_go_with_the_job(spark, tmp_path):
+    path = write_csv(tmp_path / "a.csv", LINE_COLUMNS, [{**SALE, "id_mutation": "1"}])
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    prepare_sales(spark, [[path]], str(tmp_path / "out"))
+    assert set(shared.iterdir()) == before
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from terrier.session import scratch_path
+
+    for master, allowed in (("yarn", False), ("local-cluster[2,1,1024]", False), ("local[8]", True), ("local", True)):
+        fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master))
+        if allowed:
+            assert "/x-" in scratch_path(fake, "x")
+        else:
+            with pytest.raises(ValueError, match="shared folder"):
+                scratch_path(fake, "x")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_only_full_dates_are_dates(spark, ansi):
+    from terrier.functions.casts import lenient_date, strict_date
+
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for text in ("2020-03  ", "+2020-03", "   2020 ", "2020-03-04 garbage"):
+            df = spark.createDataFrame([(text,)], "t string")
+            with pytest.raises(Exception, match="(?i)date"):
+                df.select(strict_date(F.col("t"))).collect()
+            assert df.select(lenient_date(F.col("t"))).first()[0] is None
+        good = spark.createDataFrame([(" 2020-3-04 ",), (None,)], "t string").select(strict_date(F.col("t"))).collect()
+        assert [str(r[0]) for r in good] == ["2020-03-04", "None"]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

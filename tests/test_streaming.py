@@ -62,3 +62,13 @@ def test_stream_resumes(spark, tmp_path):
     page(landing, 1, [{"cle_vente": "a", "dept": "33", "v": 2}])
     assert run() == {"a": 2, "b": 1}
     assert run() == {"a": 2, "b": 1}
+
+
+def test_rows_without_key_or_department_stay(spark, tmp_path):
+    root, newest = str(tmp_path / "table"), [F.col("v").desc()]
+    first = spark.createDataFrame([(None, "33", 1), (None, "33", 2), ("a", None, 1), ("b", "33", 1)], SCHEMA)
+    apply_batch(first, 0, root, "cle_vente", newest)
+    second = spark.createDataFrame([("a", None, 2), (None, None, 3)], SCHEMA)
+    apply_batch(second, 1, root, "cle_vente", newest)
+    got = sorted(((r["cle_vente"], r["dept"], r["v"]) for r in current_rows(spark, root, first.schema).collect()), key=repr)
+    assert got == sorted([(None, "33", 1), (None, "33", 2), ("a", None, 2), ("b", "33", 1), (None, None, 3)], key=repr)
