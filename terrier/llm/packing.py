@@ -10,7 +10,6 @@ blocks that stayed underfull are dealt anew and packed and searched once more.
 
 from __future__ import annotations
 
-import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -146,42 +145,49 @@ def best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-def _gain_by(sizes: np.ndarray, place: np.ndarray, fill: np.ndarray, capacity: int, source: int) -> tuple | None:
-    """The change that leaves the least gap: items of ``source`` to give, the item to take (or -1), the bin.
+def _best_change(sizes: np.ndarray, place: np.ndarray, gap: np.ndarray, source: int) -> tuple | None:
+    """The change that fills another bin best: items of ``source`` to give, the item to take (or -1), the bin.
 
-    Moving ``d`` tokens out of the emptiest bin into bin B raises the sum of squares by
-    ``2 * d * (fill[B] - fill[source] + d)``, which is positive for every d above 0.
+    Moving ``d`` tokens out of a bin into bin B raises the sum of squared fills by
+    ``2 * d * (fill[B] - fill[source] + d)``, which is positive for every d above 0 if B is no emptier.
     """
     own = np.flatnonzero(place == source)
-    gap = capacity - fill
-    gap[source] = -1
+    able = (gap > 0) & (gap <= gap[source])
+    able[source] = False
+    open_bins = np.flatnonzero(able)
+    if not len(open_bins):
+        return None
+    by_gap = open_bins[np.argsort(gap[open_bins], kind="stable")]
+    at = np.searchsorted(gap[by_gap], sizes[own])
+    fits = at < len(by_gap)
+    if fits.any():  # move one
+        left = np.where(fits, gap[by_gap[np.minimum(at, len(by_gap) - 1)]] - sizes[own], np.iinfo(np.int64).max)
+        x = int(left.argmin())
+        return (int(own[x]),), -1, int(by_gap[at[x]])
+    others = np.flatnonzero(able[place])
+    room = gap[place[others]] + sizes[others]  # what may come in where this item goes out
+    order = np.argsort(room, kind="stable")
+    others, room = others[order], room[order]
+    first, second = np.triu_indices(len(own), 1)
+    given = np.concatenate((sizes[own], sizes[own[first]] + sizes[own[second]]))  # one for one, two for one
+    at = np.searchsorted(room, given)
     best = None
-    for x in own:  # move one
-        rest = np.where(gap >= sizes[x], gap - sizes[x], capacity + 1)
-        into = int(rest.argmin())
-        if rest[into] <= capacity and (best is None or rest[into] < best[0]):
-            best = (int(rest[into]), (int(x),), -1, into)
-    if best is not None:
-        return best
-    others = np.flatnonzero((place != source) & (gap[place] > 0))
-    room = gap[place[others]] + sizes[others]
-    pairs = itertools.islice(itertools.combinations(own.tolist(), 2), 5000)
-    for given in itertools.chain(((int(x),) for x in own), pairs):  # one for one, two for one
-        size = int(sizes[list(given)].sum())
-        rest = np.where((room >= size) & (sizes[others] < size), room - size, capacity + 1)
-        if len(rest):
-            j = int(rest.argmin())
-            if rest[j] <= capacity and (best is None or rest[j] < best[0]):
-                best = (int(rest[j]), given, int(others[j]), int(place[others[j]]))
-                if best[0] == 0:
-                    break
-    return best
-
-
-def improve(sizes: np.ndarray, bins: np.ndarray, capacity: int, tries: int = 20) -> np.ndarray:
+    for _ in range(8):  # the tightest room may belong to an item that isn't smaller
+        inside = np.minimum(at, len(room) - 1)
+        left = np.where((at < len(room)) & (sizes[others[inside]] < given), room[inside] - given, np.iinfo(np.int64).max)
+        j = int(left.argmin())
+        if left[j] < np.iinfo(np.int64).max and (best is None or left[j] < best[0]):
+            items = (int(own[j]),) if j < len(own) else (int(own[first[j - len(own)]]), int(own[second[j - len(own)]]))
+            best = (int(left[j]), items, int(others[inside[j]]))
+        at = at + 1
+    return None if best is None else (best[1], best[2], int(place[best[2]]))
+
+
+def improve(sizes: np.ndarray, bins: np.ndarray, capacity: int, tries: int = 8, changes: int = 100) -> np.ndarray:
     """Local search: empties the emptiest bins while changes raise the sum of squared fills.
 
-    Ends when the bins are as few as the tokens need, or when ``tries`` bins in a row can't be emptied.
+    Ends when the bins are as few as the tokens need, or when ``tries`` bins can't be emptied, each
+    within ``changes`` changes. Both bound the search, not what is packed.
     """
     place = bins.copy()
     fewest = -(-int(sizes.sum()) // capacity)
@@ -192,14 +198,12 @@ def improve(sizes: np.ndarray, bins: np.ndarray, capacity: int, tries: int = 20)
         if not open_bins:
             break
         source = open_bins[0]
-        before = place.copy()
-        while fill[source]:
-            change = _gain_by(sizes, place, fill.copy(), capacity, source)
+        for _ in range(changes):
+            change = _best_change(sizes, place, np.where(fill > 0, capacity - fill, 0), source) if fill[source] else None
             if change is None:
                 break
-            _, given, taken, into = change
-            for x in given:
-                place[x] = into
+            given, taken, into = change
+            place[list(given)] = into
             if taken >= 0:
                 place[taken] = source
             moved = int(sizes[list(given)].sum()) - (int(sizes[taken]) if taken >= 0 else 0)
@@ -207,8 +211,6 @@ def improve(sizes: np.ndarray, bins: np.ndarray, capacity: int, tries: int = 20)
             fill[source] -= moved
         if fill[source]:
             stuck.add(source)
-        elif not np.array_equal(before, place):
-            stuck.clear()
     return place
 
 
