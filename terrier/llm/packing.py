@@ -11,11 +11,13 @@ blocks that stayed underfull are dealt anew and packed and searched once more.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,55 +28,93 @@ CAPACITY = 2048
 END = 0
 #: Pieces packed by one task; their number per block stays the same at every size.
 BLOCK_ITEMS = 20_000
-#: Words and pre-tokens whose ids a worker remembers before it starts afresh; bounds its memory only.
-REMEMBERED = 400_000
+#: Words, and pre-tokens, whose ids a worker remembers in each of two generations; bounds its memory only.
+REMEMBERED = 250_000
+#: Characters of text whose new words are tokenized together.
+BLOCK_CHARS = 2_000_000
 
-#: The pre-token rule of the vocabulary file, for words that have no character outside ASCII.
+#: The pre-token rule of the vocabulary file.
+_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 #: White space to Python, but not to the tokenizer.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
-class WordIds(dict):
-    """Token ids, as little-endian 32-bit bytes, of words between white space.
+class _Memory(dict):
+    """Entries of the last two generations, so that what is often used stays."""
 
-    A token never reaches over white space, so a text's ids are those of its words in a row. Words
-    are tokenized once and remembered; ASCII words are first cut into pre-tokens, which repeat more.
+    def __init__(self) -> None:
+        super().__init__()
+        self.older: dict = {}
+
+    def unknown(self, keys: set[str]) -> set[str]:
+        """The keys that must be learnt; the others are present afterwards."""
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        new = keys - self.keys()
+        for key in new & self.older.keys():
+            self[key] = self.older[key]
+            new.discard(key)
+        return new
+
+
+class WordIds:
+    """Token ids of texts as little-endian 32-bit bytes.
+
+    A token never reaches over white space, so a text's ids are those of its words in a row, and a
+    word's those of its pre-tokens. Both repeat, so each is tokenized once and remembered. New
+    pre-tokens are tokenized many at a time; the last token of each is marked as a word end.
     """
 
     def __init__(self, tokenizer_path: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.parts: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words, self.parts = _Memory(), _Memory()
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            ids = self.parts[part] = self.encode(part)
-        return ids
-
-    def __missing__(self, word: str) -> bytes:
-        if word.isascii():
-            ids = b"".join([self._part(part) for part in _ASCII_PARTS.findall(word.lower())])
-        else:
-            ids = self.encode(word)
-        self[word] = ids
-        return ids
-
-    def text(self, text: str) -> bytes:
-        if _ODD_SPACE.search(text):
-            return self.encode(text)
-        if len(self) > REMEMBERED:
-            self.clear()
-        if len(self.parts) > REMEMBERED:
-            self.parts.clear()
-        return b"".join(map(self.__getitem__, text.split()))
+    def _learn_parts(self, parts: list[str], at_once: int = 2000) -> None:
+        for first in range(0, len(parts), at_once):
+            some = parts[first : first + at_once]
+            (found,) = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, dtype="<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1 if len(ids) and ids.max() < len(self.ends) else np.zeros(0, int)
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                data, at = ids.tobytes(), (ends * 4).tolist()
+                for part, start, end in zip(some, [0, *at], at):
+                    self.parts[part] = data[start:end]
+            else:  # a pre-token that the tokenizer sees as none or several
+                for part in some:
+                    self.parts[part] = self.encode(part)
+
+    def _learn_words(self, words: set[str]) -> None:
+        cut = {}
+        for word in words:
+            if word.isascii():
+                cut[word] = _ASCII_PARTS.findall(word.lower())
+            else:
+                cut[word] = _PARTS.findall(unicodedata.normalize("NFC", word).replace("Σ", "σ").lower())
+        self._learn_parts(list(self.parts.unknown({part for parts in cut.values() for part in parts})))
+        for word, parts in cut.items():
+            self.words[word] = b"".join([self.parts[part] for part in parts])
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        split = [[] if _ODD_SPACE.search(text) else text.split() for text in texts]
+        distinct: set[str] = set()
+        for words in split:
+            distinct.update(words)
+        new = self.words.unknown(distinct)
+        if new:
+            self._learn_words(new)
+        ids_of = self.words.__getitem__
+        return [b"".join(map(ids_of, words)) if words else self.encode(text) for words, text in zip(split, texts)]
 
 
 _WORD_IDS: dict[str, WordIds] = {}
@@ -87,17 +127,28 @@ def word_ids(tokenizer_path: str) -> WordIds:
     return _WORD_IDS[tokenizer_path]
 
 
+def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= BLOCK_CHARS or i + 1 == len(texts):
+            yield start, i + 1
+            start, size = i + 1, 0
+
+
 def _pieces(tokenizer_path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, end = word_ids(tokenizer_path), np.array([END], dtype="<u4").tobytes()
         for batch in batches:
             owner, rows = [], []
-            for i, text in enumerate(batch.column(1)):
-                ids = ids_of.text(text.as_py() or "") + end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    owner.append(i)
-                    rows.append((piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            texts = [text or "" for text in batch.column(1).to_pylist()]
+            for first, last in _blocks(texts):
+                for i, ids in enumerate(ids_of.texts(texts[first:last]), first):
+                    ids += end
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at : at + 4 * capacity]
+                        owner.append(i)
+                        rows.append((piece, at // 4, len(part) // 4, zlib.crc32(part)))
             columns = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [
