@@ -16,13 +16,13 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrier.session import materialize
 
 KINDS = ("assign", "access", "hex")
-#: Labelled credentials per kind, and ordinary words, from which automata are learnt: those with the smallest hashes.
+#: Expected number of labelled credentials per kind, and of ordinary words, from which automata are learnt.
 SAMPLE = 600
 #: Longer values are scored, but not learnt from.
 LONGEST_EXAMPLE = 128
@@ -221,16 +221,19 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _examples(found: DataFrame) -> dict[str, list[str]]:
-    """The sample of distinct credentials per kind and of ordinary words, a bounded number of each."""
+    """About ``SAMPLE`` distinct credentials per kind and ordinary words, drawn by a hash of the value."""
     labelled = found.select(F.explode("base").alias("s")).select(
         F.element_at(F.array(*map(F.lit, KINDS)), F.col("s.kind") + 1).alias("kind"), F.col("s.value").alias("value")
     )
     words = found.where("word IS NOT NULL").select(F.lit("word").alias("kind"), F.col("word").alias("value"))
     distinct = labelled.unionByName(words).where(F.length("value") <= LONGEST_EXAMPLE).distinct()
-    order = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
-    drawn = distinct.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE)
-    rows = drawn.select("kind", "value").orderBy("kind", "value").collect()
-    return {kind: [r["value"] for r in rows if r["kind"] == kind] for kind in (*KINDS, "word")}
+    shares = {r["kind"]: SAMPLE / r["n"] for r in distinct.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    if not shares:
+        return {}
+    share = F.try_element_at(F.create_map(*[F.lit(x) for kv in shares.items() for x in kv]), F.col("kind"))
+    drawn = distinct.where(F.pmod(F.xxhash64("value"), F.lit(1_000_003)) < share * 1_000_003)
+    rows = sorted((r["kind"], r["value"]) for r in drawn.collect())
+    return {kind: [value for k, value in rows if k == kind] for kind in (*KINDS, "word")}
 
 
 def _report(automata: dict[str, tuple[Automaton, float]]):
