@@ -9,6 +9,7 @@ from terrier.functions.casts import lenient_double, lenient_int
 from terrier.functions.footprints import add_footprints
 from terrier.operators.joins import left_join_many
 from terrier.operators.ranking import best_per_group
+from terrier.session import materialize
 
 ID = "batiment_groupe_id"
 
@@ -105,12 +106,11 @@ def arbitrate_parcels(relation: DataFrame, buildings: DataFrame) -> DataFrame:
     """One building per parcel: principal link first, then most dwellings, then smallest id.
 
     The inner join also restricts parcels to the selected buildings. Only the narrow relation
-    and the dwelling counts are shuffled. Of the two, the counts are the smaller side and unique
-    per building, so they are hashed and the relation, which may be skewed, is not sorted.
+    and the dwelling counts are shuffled; adaptive execution picks and splits the join.
     """
     links = relation.select(
         ID, "parcelle_id", F.when(is_principal(F.col("parcelle_principale")), 0).otherwise(1).alias("_minor")
-    ).join(buildings.select(ID, "nb_logements").hint("shuffle_hash"), ID, "inner")
+    ).join(buildings.select(ID, "nb_logements"), ID, "inner")
     order = [F.col("_minor").asc(), F.col("nb_logements").desc_nulls_last(), F.col(ID).asc()]
     return best_per_group(links, ["parcelle_id"], order).select("parcelle_id", ID)
 
@@ -125,7 +125,7 @@ def attach_parcels(buildings: DataFrame, won: DataFrame | None) -> DataFrame:
     """Adds the parcels a building won: one row each, or one row with NULL."""
     if won is None:
         return buildings.select("*", *_absent(parcelle_id="string"))
-    return left_join_many(buildings, won, ID, "parcelle_id")
+    return left_join_many(buildings, won, ID)
 
 
 def prepare_building_rows(
@@ -133,5 +133,6 @@ def prepare_building_rows(
 ) -> DataFrame:
     """The building tables to the published building table."""
     placed = add_footprints(star(tables, departments), "_footprint", "code_departement", srid=srid)
-    won = parcels_won(tables, departments) if "parcelle" in tables else None
+    # Read by both sides of the attachment: arbitrated once.
+    won = materialize(parcels_won(tables, departments), "parcels-won") if "parcelle" in tables else None
     return attach_parcels(placed, won).select(*BUILDING_OUTPUT)

@@ -12,7 +12,6 @@ from terrier.operators.ranking import best_per_group
 MAX_YEARS_APART = 3
 
 NULL_SPREAD = 4096
-MAX_MATCHES_PER_TASK = 2_000_000
 
 
 def left_join_spread(
@@ -39,39 +38,16 @@ def left_join_spread(
     return keyed.join(renamed, same, "left").drop("_spread_key", *names.values())
 
 
-def left_join_many(
-    left: DataFrame, right: DataFrame, key: str, split_by: str, rows_per_task: int = MAX_MATCHES_PER_TASK
-) -> DataFrame:
+def left_join_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join of unique ``left`` rows to any number of ``right`` rows each.
 
-    A left row with a huge number of matches cannot be split by adaptive execution, which only
-    splits the preserved side of an outer join. So keys with more matches than ``rows_per_task``
-    are cut into several, on both sides, by a hash of ``split_by``, a column of ``right``.
-    There can be no more such keys than total rows over ``rows_per_task``, so their list is
-    broadcast.
+    Adaptive execution splits only the preserved side of an outer join, and here it is the other
+    side that may hold a huge key. So the matches come from an inner join, where it splits either
+    side, and the rows without a match from an anti join.
     """
-    hot = (
-        right.groupBy(F.col(key).alias("_hot_key"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > rows_per_task)
-        .select("_hot_key", F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_cuts"))
-    )
-    hot = F.broadcast(hot)
-
-    def with_cuts(df: DataFrame) -> DataFrame:
-        return df.join(hot, F.col(key) == F.col("_hot_key"), "left").drop("_hot_key")
-
-    cuts = F.coalesce(F.col("_cuts"), F.lit(1))
-    many = (
-        with_cuts(right)
-        .withColumns({"_cut": F.pmod(F.xxhash64(split_by), cuts).cast("int"), "_matched": F.lit(True)})
-        .drop("_cuts")
-    )
-    one = with_cuts(left).withColumn("_cut", F.explode(F.sequence(F.lit(0), cuts - 1)))
-    joined = one.join(many, [key, "_cut"], "left")
-    # A cut that caught nothing is not an unmatched row: its key has matches in other cuts.
-    empty_cut = F.col("_cuts").isNotNull() & F.col("_matched").isNull()
-    return joined.filter(~empty_cut).drop("_cut", "_cuts", "_matched")
+    matched = left.join(right, key, "inner")
+    alone = left.join(right.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True).select(matched.columns)
 
 
 def years_apart(a: Column, b: Column) -> Column:

@@ -12,11 +12,14 @@ from terrier.functions.casts import lenient_double
 def sale_match_key() -> dict[str, Column]:
     """What makes two raw lines the same sale across sources.
 
-    The price is compared as a number: '250000' and '250000.0' are one price.
+    The price is compared as a number: '250000' and '250000.0' are one price. Text that is no number
+    is compared as it stands, so that it doesn't pass for a missing price.
     """
+    price = lenient_double(F.col("valeur_fonciere"))
     return {
         "date": F.col("date_mutation"),
-        "price": lenient_double(F.col("valeur_fonciere")),
+        "price": price,
+        "unread_price": F.when(price.isNull(), F.col("valeur_fonciere")),
         "commune": F.col("code_commune"),
     }
 

@@ -11,9 +11,10 @@ import warnings
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrier.functions.territories import require_known_territories, select_departments
+from terrier.functions.territories import DEPARTMENTS, parse_selector, require_known_territories, select_departments
 from terrier.operators import reports
 from terrier.operators.buildings import prepare_building_rows
+from terrier.operators.changes import changed_sources, remember
 from terrier.operators.diagnostics import prepare_diagnostic_rows
 from terrier.operators.joint import enrich_sales
 from terrier.operators.quality import check, require_publishable
@@ -24,7 +25,7 @@ from terrier.plans import export
 from terrier.session import materialize, scratch_scope
 from terrier.sources import delimited
 from terrier.sources.delimited import path_exists
-from terrier.sources.tables import manifest_baseline, read_table, read_table_or_none
+from terrier.sources.tables import manifest_baseline, missing_partitions, produced, read_table, read_table_or_none
 
 
 def effective_lines(sources: list[DataFrame]) -> DataFrame:
@@ -57,19 +58,36 @@ def selected(table: DataFrame, departments: str | list[str] | None) -> DataFrame
     return select_departments(table, departments, "code_departement")
 
 
+def still_missing(spark: SparkSession, out: str, departments: str | list[str] | None) -> list[str]:
+    """The requested departments (all of the territory list if none is named) without rows below ``out`` yet."""
+    codes = parse_selector(departments) if not isinstance(departments, list) else departments
+    requested = spark.createDataFrame([("t", c) for c in codes or DEPARTMENTS], "source string, dept string")
+    table = read_table_or_none(spark, out)
+    existing = produced({"t": table}) if table is not None else requested.limit(0)
+    return sorted(r["dept"] for r in missing_partitions(requested, existing).collect())
+
+
 def fetched(report: DataFrame) -> DataFrame:
     """A report (a row per department at most) that no longer depends on scratch tables."""
     return report.sparkSession.createDataFrame(report.collect(), report.schema)
 
 
 def prepare_sales(
-    spark: SparkSession, sources: list[list[str]], out: str, departments: str | list[str] | None = None, mode: str = "replace"
+    spark: SparkSession,
+    sources: list[list[str]],
+    out: str,
+    departments: str | list[str] | None = None,
+    mode: str = "replace",
+    force: bool = True,
 ) -> DataFrame:
     """Landed sale files (one list of paths per source, archive first) to the sale table.
 
     Text is parsed once: each source is staged as Parquet, and collapse and report read that. Only
-    the departments of the run are rewritten; ``mode="overwrite"`` starts the table afresh.
+    the departments of the run are rewritten; ``mode="overwrite"`` starts the table afresh. Without
+    ``force`` departments that are there already stay as they are.
     """
+    if not force and not (departments := still_missing(spark, out, departments)):
+        return reports.sales_report(read_table(spark, out))
     with scratch_scope(spark):
         scans = [materialize(s, "landed-lines") for s in delimited.scan_sale_lines(spark, sources)]
         lines = materialize(effective_lines(scans), "sale-lines")
@@ -85,13 +103,16 @@ def prepare_diagnostics(
     departments: str | list[str] | None = None,
     scope: str | None = None,
     mode: str = "replace",
+    force: bool = True,
 ) -> DataFrame:
     """Landed diagnostic pages (paths, or a table of the 21 text columns) to the diagnostic table.
 
     Pages in text form are staged as Parquet first; the guards then read one column of it, and
     nothing is computed before they pass. A diagnostic may be cited from any department, so all
-    pages count for the mark even if the run asks for some departments.
+    pages count for the mark even if the run asks for some departments. ``force`` as for sales.
     """
+    if not force and not (departments := still_missing(spark, out, departments)):
+        return reports.diagnostics_report(read_table(spark, out))
     with scratch_scope(spark):
         if isinstance(pages, DataFrame):
             raw = delimited.align_labels(pages)
@@ -118,8 +139,6 @@ def prepare_buildings(
     mode: str = "replace",
 ) -> tuple[DataFrame, list[str]]:
     """Building tables below ``root`` to the building table; also names the absent tables."""
-    from terrier.functions.territories import parse_selector
-
     with scratch_scope(spark):
         tables = delimited.scan_building_tables(spark, root)
         codes = parse_selector(departments) if not isinstance(departments, list) else departments
@@ -150,6 +169,15 @@ def prepare_joint(
         return fetched(reports.joint_report(read_table(spark, out))), reports.absent_sources(known, energy)
 
 
+def refresh_marks(spark: SparkSession, seen: DataFrame, path: str) -> DataFrame:
+    """Compares version marks with those kept at ``path``, keeps the newer ones there, and returns the changes."""
+    known = spark.read.schema(seen.schema).parquet(path) if path_exists(spark, path) else seen.limit(0)
+    changed = materialize(changed_sources(seen, known), "changed-sources")
+    # The table at ``path`` is read by the very frame that replaces it.
+    materialize(remember(seen, known), "kept-marks").write.mode("overwrite").parquet(path)
+    return changed
+
+
 def verify(
     spark: SparkSession,
     out: str,

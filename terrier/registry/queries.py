@@ -165,14 +165,14 @@ def unknown_territory(spark: SparkSession, sf: str) -> DataFrame:
 def landing_file_health(spark: SparkSession, sf: str) -> DataFrame:
     """A text landing of orders next to the binary driver files."""
     root = scratch_path(spark, "landing")
-    an.table(spark, sf, "orders").write.option("header", "true").csv(f"{root}/orders")
-    text = landing.file_health(spark, f"{root}/orders", "*.csv").withColumn("zone", F.lit("text"))
-    binary = landing.file_health(spark, sf, "*.parquet").withColumn("zone", F.lit("binary"))
-    return (
-        text.unionByName(binary)
-        .groupBy("zone", F.coalesce("reason", F.lit("accepted")).alias("outcome"))
-        .agg((F.count(F.lit(1)) > 0).alias("seen"))
+    an.table(spark, sf, "orders").write.partitionBy("o_orderstatus").option("header", "true").csv(f"{root}/orders")
+    text = landing.file_health(spark, f"{root}/orders", "*.csv").select(
+        F.lit("text").alias("zone"), F.regexp_extract("path", "o_orderstatus=([^/]*)/", 1).alias("name"), "reason"
     )
+    table = F.regexp_extract("path", r"/(\w+\.parquet)(?:/[^/]*)?$", 1)
+    binary = landing.file_health(spark, sf, "*.parquet").select(F.lit("binary").alias("zone"), table.alias("name"), "reason")
+    # A table may be several files; each name is listed with every outcome its files have.
+    return text.unionByName(binary).select("zone", "name", F.coalesce("reason", F.lit("accepted")).alias("outcome")).distinct()
 
 
 # Projections and flags
@@ -266,13 +266,11 @@ def parcel_arbitration(spark: SparkSession, sf: str) -> DataFrame:
 def won_buildings(spark: SparkSession, sf: str) -> DataFrame:
     """Buildings with the parcels they won."""
     tables = an.building_tables(spark, sf)
-    return attach_parcels(star(tables), parcels_won(tables))
+    return attach_parcels(star(tables), materialize(parcels_won(tables), "parcels-won"))
 
 
 def sale_building_join(spark: SparkSession, sf: str) -> DataFrame:
-    known = won_buildings(spark, sf).filter(F.col("hauteur_moyenne").isNotNull()).select(
-        F.col("parcelle_id").alias("_parcel"), "batiment_groupe_id", "nb_logements"
-    )
+    known = won_buildings(spark, sf).select(F.col("parcelle_id").alias("_parcel"), "batiment_groupe_id", "nb_logements")
     sales = collapsed(spark, sf).select("id_mutation", "id_parcelle")
     return left_join_spread(sales, known, ["id_parcelle"], ["_parcel"])
 
@@ -410,11 +408,8 @@ def two_sources(spark: SparkSession, sf: str) -> list[DataFrame]:
 
 def source_precedence(spark: SparkSession, sf: str) -> DataFrame:
     kept = prefer_later_sources(two_sources(spark, sf), sale_match_key(), tag="priority")
-    return kept.groupBy("priority", F.substring("date_mutation", 1, 4).alias("annee")).agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.countDistinct("id_mutation").alias("n_sales"),
-        F.round(F.sum(casts.strict_double(F.col("surface_reelle_bati"))), 2).alias("surface"),
-    )
+    area = F.round(casts.strict_double(F.col("surface_reelle_bati")), 2)
+    return kept.select("priority", "id_mutation", "date_mutation", "code_commune", "id_parcelle", area.alias("area"))
 
 
 def consolidated_sales(spark: SparkSession, sf: str) -> DataFrame:
@@ -459,20 +454,17 @@ def vintage_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
 def write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "sales")
     export.write_table(full_sales(spark, sf), path)
-    return read_table(spark, path).groupBy("dept").agg(
-        F.count(F.lit(1)).alias("n_sales"), F.sum("nb_lignes").alias("n_lines"), F.min("date_mutation").alias("first_day")
-    )
+    kept = ["dept", "id_mutation", "cle_vente", "nb_lignes", "date_mutation", "surface_bati"]
+    return rounded(read_table(spark, path).select(*kept), surface_bati=2)
 
 
 def csv_export_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "buildings-csv")
     export.write_csv(prepared_buildings(spark, sf), path)
     back = delimited.read_text_table(spark, path)
-    return back.groupBy("code_departement").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count("parcelle_id").alias("n_parcels"),
-        F.count_if(F.col("geom").rlike(r"^\\x01060000")).alias("n_footprints"),
-    )
+    footprint = F.coalesce(F.col("geom").rlike(r"^\\x01060000"), F.lit(False))
+    kept = ["batiment_groupe_id", "parcelle_id", "code_departement", "nb_logements", "materiau_mur", "classe_dpe"]
+    return back.select(*kept, footprint.alias("has_footprint"))
 
 
 def schema_ddl(spark: SparkSession, sf: str) -> DataFrame:
@@ -502,10 +494,8 @@ def upsert_by_key(spark: SparkSession, sf: str) -> DataFrame:
     """The older vintage updated by the official one, on the content key."""
     bound = twins_bound(spark, sf)
     older, newer = (sales_from_lines(s, bound) for s in two_sources(spark, sf))
-    merged = upsert(older, newer, "cle_vente")
-    return merged.groupBy("annee", F.substring("id_mutation", 1, 1).alias("vintage")).agg(
-        F.count(F.lit(1)).alias("n_sales"), F.round(F.sum("surface_bati"), 2).alias("surface")
-    )
+    merged = upsert(older, newer, "cle_vente").select("cle_vente", "id_mutation", "annee", "surface_bati")
+    return rounded(merged, surface_bati=2)
 
 
 def missing_partitions_query(spark: SparkSession, sf: str) -> DataFrame:

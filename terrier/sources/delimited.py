@@ -92,10 +92,9 @@ def read_text_table(
 
 def layouts(spark: SparkSession, paths: list[str], pattern: str | None = None) -> list[tuple[str, list[str]]]:
     """Files grouped by header line. Holds file names only, as Spark's own file index does."""
-    heads = landing.file_heads(landing.list_files(spark, paths, pattern), size=16 * 1024)
+    heads = landing.file_headers(landing.list_files(spark, paths, pattern))
     grouped = (
-        heads.select("path", landing.first_line(F.col("head")).alias("header"))
-        .groupBy("header")
+        heads.groupBy("header")
         .agg(F.sort_array(F.collect_list("path")).alias("paths"))
         .orderBy("header")
     )

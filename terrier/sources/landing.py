@@ -7,6 +7,7 @@ expression.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from urllib.parse import unquote
@@ -53,7 +54,8 @@ def _open(path: str):
     path = unquote(path)
     if path.startswith("file:"):
         return fs.LocalFileSystem().open_input_stream("/" + path[5:].lstrip("/"), compression=None)
-    system, inner = fs.FileSystem.from_uri(path)
+    # Arrow knows the store under its plain name only.
+    system, inner = fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
     return system.open_input_stream(inner, compression=None)
 
 
@@ -65,6 +67,27 @@ def _head(path: str, size: int) -> bytes:
     return raw
 
 
+def _header(path: str) -> bytes:
+    """The whole first line, however long, read piece by piece."""
+    unzip = zlib.decompressobj(zlib.MAX_WBITS | 16) if path.endswith(".gz") else None
+    line = bytearray()
+    with _open(path) as stream:
+        while b"\n" not in line and (raw := stream.read(HEAD_BYTES)):
+            line += unzip.decompress(raw) if unzip else raw
+    return bytes(line).partition(b"\n")[0]
+
+
+def file_headers(files: DataFrame) -> DataFrame:
+    """Path and ``header``, the first line of each file as text."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"path": batch["path"], "header": [_header(p) for p in batch["path"]]})
+
+    lines = files.select("path").mapInPandas(read, "path string, header binary")
+    return lines.select("path", first_line(F.col("header")).alias("header"))
+
+
 def file_heads(files: DataFrame, size: int = HEAD_BYTES) -> DataFrame:
     """Adds ``head``: the first bytes of each file, decompressed for ``.gz``."""
 

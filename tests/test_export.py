@@ -178,3 +178,13 @@ def test_whole_chain(spark, tmp_path):
     assert "cle_vente text PRIMARY KEY" in ddl and " dept " not in ddl
     with pytest.raises(ValueError, match="refused"):
         verify(spark, out, [*sources, "autre"])
+
+
+def test_layouts_differ_beyond_any_head(spark, tmp_path):
+    """Two headers alike for many kilobytes are two layouts, plain or compressed."""
+    wide = ",".join(f"column_{i}" for i in range(20_000))
+    (tmp_path / "a.csv").write_text(f"{wide},x\n1\n")
+    (tmp_path / "b.csv").write_text(f"{wide},y\n1\n")
+    (tmp_path / "c.csv.gz").write_bytes(gzip.compress(f"{wide},x\r\n1\n".encode()))
+    found = delimited.layouts(spark, [str(tmp_path)])
+    assert sorted((header[-2:], len(files)) for header, files in found) == [(",x", 2), (",y", 1)]

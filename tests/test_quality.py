@@ -145,3 +145,12 @@ def test_bounds_name_the_expected_box(spark):
     stats = quality.measure(spark.createDataFrame([("971", 16.0, -61.5), ("971", 0.0, 0.0)], POINTS), "dvf")
     detail = quality.bounds_findings(stats).first()["detail"]
     assert detail["emprise_attendue"] == "15.7, 18.2, -63.2, -60.9" and detail["part_hors_emprise"] == "0.5"
+
+
+def test_marks_are_kept_between_runs(spark, tmp_path):
+    from terrier.plans.prepare import refresh_marks
+
+    path = str(tmp_path / "marks")
+    for etag, changed in (("a", True), ("a", False), ("b", True)):
+        seen = spark.createDataFrame([("s", etag, None, None)], MARKS)
+        assert {r["source"]: r["changed"] for r in refresh_marks(spark, seen, path).collect()} == {"s": changed}

@@ -313,3 +313,18 @@ def test_only_full_dates_are_dates(spark, ansi):
         assert [str(r[0]) for r in good] == ["2020-03-04", "None"]
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_departments_that_exist_are_skipped_unless_forced(spark, tmp_path):
+    path, out = write_csv(tmp_path / "a.csv", LINE_COLUMNS, [{**SALE, "id_mutation": "1"}]), str(tmp_path / "out")
+    prepare_sales(spark, [[path]], out, departments="15")
+    other = write_csv(tmp_path / "b.csv", LINE_COLUMNS, [{**SALE, "id_mutation": "2"}, {**SALE, "id_mutation": "3", "code_departement": "63"}])
+    prepare_sales(spark, [[other]], out, departments="15", force=False)
+    prepare_sales(spark, [[other]], out, departments="15,63", force=False)
+    assert {r["id_mutation"]: r["dept"] for r in read_table(spark, out).collect()} == {"1": "15", "3": "63"}
+
+
+def test_unreadable_price_is_not_a_missing_price(spark):
+    odd = {**SALE, "valeur_fonciere": "n.c."}
+    both = sources(spark, [{**odd, "id_mutation": "a"}], [{**SALE, "id_mutation": "b", "valeur_fonciere": None}])
+    assert {r["id_mutation"] for r in prefer_later_sources(both, sale_match_key()).collect()} == {"a", "b"}
