@@ -72,8 +72,8 @@ def hash_words(texts: list) -> tuple[np.ndarray, np.ndarray]:
     firsts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     place = np.arange(len(letters), dtype=np.int64) - np.repeat(firsts, lengths)
     value = _NUMBERS.ravel()[((place & (_PLACES - 1)) << 8) | letters]
-    if lengths.max() > _PLACES:
-        value = mix(value + (place // _PLACES).astype(np.uint64))
+    far = np.flatnonzero(place >= _PLACES)  # by the byte's own place only, so that a word's hash is the same in every block
+    value[far] = mix(value[far] + (place[far] // _PLACES).astype(np.uint64))
     return mix(np.add.reduceat(value, firsts) + lengths.astype(np.uint64)), counts
 
 

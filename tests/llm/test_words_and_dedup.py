@@ -146,3 +146,25 @@ def test_lines_equal_brute_force(spark):
     before = {i: 0 if t is None else t.count("\n") + 1 for i, t, _ in rows}
     assert all(r["lines_before"] == before[r["doc_id"]] for r in result)
     assert line_dedup.drop_boilerplate_lines(spark.createDataFrame([], DOCS)).count() == 0
+
+
+LONG_WORD = "https://example.org/" + "q0" * 40
+
+
+def test_hash_of_a_word_is_the_same_beside_a_long_word():
+    alone = words.hash_words([b"the cat"])[0]
+    beside = words.hash_words([b"the cat " + LONG_WORD.encode()])[0]
+    assert beside[:2].tolist() == alone.tolist()
+    place_65 = words.hash_words([b"w" * 64 + b"a", b"w" * 64 + b"b", b"a" + b"w" * 64])[0]
+    assert len(set(place_65.tolist())) == 3
+
+
+def test_copies_in_partitions_with_and_without_a_long_word(spark):
+    rng = random.Random(7)
+    text = [f"w{rng.randrange(3000)}" for _ in range(200)]
+    near = [*text[:-1], "changed"]
+    rows = [(1, " ".join(text)), (2, " ".join(near)), (3, "other " + LONG_WORD), (4, " ".join(text)), (5, " ".join(near))]
+    # Two partitions in order; only the second one has a long word.
+    docs = spark.createDataFrame(spark.sparkContext.parallelize([(i, t, None, None, None) for i, t in rows], 2), DOCS)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, shingle_words=3, percent=85).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 1, 5: 1}
