@@ -80,8 +80,9 @@ def _sketch_batches(size: int, keep: int):
                         pa.array(first),
                         pa.array(second),
                         lists(values[place < keep], kept),
+                        batch.column(2).slice(done, len(counts)),
                     ],
-                    ["doc_id", "n_shingles", "h1", "h2", "sketch"],
+                    ["doc_id", "n_shingles", "h1", "h2", "sketch", "text_hash"],
                 )
                 done += len(counts)
 
@@ -91,14 +92,10 @@ def _sketch_batches(size: int, keep: int):
 def _set_batches(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = [batch.column(i).to_numpy() for i in (1, 2)]
-            texts, done = as_bytes(batch.column(3)), 0
+            texts, done = as_bytes(batch.column(1)), 0
             for values, counts in _shingle_sets(texts, size):
-                here = slice(done, done + len(counts))
-                own = np.logical_and(*(a == b[here] for a, b in zip(_fingerprints(values, counts), wanted)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(done, len(counts)).filter(pa.array(own)), lists(values, counts).filter(pa.array(own))],
-                    ["cid", "shingles"],
+                    [batch.column(0).slice(done, len(counts)), lists(values, counts)], ["cid", "shingles"]
                 )
                 done += len(counts)
 
@@ -206,21 +203,27 @@ def near_duplicates(
     gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
     kind = source.schema["doc_id"].dataType.simpleString()
     shared = shared_values(sketch_size, percent)
 
     sketches = materialize(
         source.mapInArrow(
             _sketch_batches(shingle_words, sketch_size),
-            f"doc_id {kind}, n_shingles long, h1 long, h2 long, sketch array<long>",
+            f"doc_id {kind}, n_shingles long, h1 long, h2 long, sketch array<long>, text_hash long",
         ),
         "sketches",
     )
     classes = materialize(
         sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+        .agg(
+            F.min(F.struct("doc_id", "text_hash")).alias("first"),
+            F.count("*").alias("copies"),
+            F.first("n_shingles").alias("n"),
+            F.first("sketch").alias("sketch"),
+        )
+        .select("h1", "h2", "copies", "n", "sketch", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
         .withColumn("cid", F.monotonically_increasing_id()),
         "classes",
     )
@@ -243,11 +246,16 @@ def near_duplicates(
     least = entries.groupBy("value").agg(F.min("cid").alias("pivot"), F.count("*").alias("n")).where("n > 1").drop("n")
     members = materialize(entries.join(least, "value").select("pivot", "cid").distinct(), "groups")
 
-    wanted = members.select("cid").distinct().join(classes.select("cid", "first_id", "h1", "h2"), "cid")
-    texts = source.join(wanted, F.col("doc_id") == F.col("first_id")).select("cid", "h1", "h2", "text")
+    # An id may be repeated with another text, so the text's own hash is asked for, too.
+    wanted = members.select("cid").distinct().join(classes.select("cid", "first_id", "first_hash"), "cid")
+    here = (F.col("doc_id") == F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    texts = source.join(wanted, here).select("cid", "text")
     sets = materialize(
         texts.mapInArrow(_set_batches(shingle_words), "cid long, shingles array<long>"), "shingle-sets"
     )
+    lost = members.select("cid").distinct().join(sets.select("cid"), "cid", "left_anti").count()
+    if lost:
+        raise RuntimeError(f"{lost} classes of documents have no shingle set; the documents changed while they were read")
     cut = members.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     block = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
     pieces = (
@@ -279,7 +287,7 @@ def near_duplicates(
         named.join(heads.where("documents > 1"), "component")
         .select("h1", "h2", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
-    asking = sketches.drop("sketch").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    asking = sketches.drop("sketch", "text_hash").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id")).cast(kind)
     return (
         asking.join(targets, ["h1", "h2", "salt"], "left")

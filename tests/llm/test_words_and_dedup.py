@@ -168,3 +168,34 @@ def test_copies_in_partitions_with_and_without_a_long_word(spark):
     docs = spark.createDataFrame(spark.sparkContext.parallelize([(i, t, None, None, None) for i, t in rows], 2), DOCS)
     got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, shingle_words=3, percent=85).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 1, 5: 1}
+
+
+def near_texts(n):
+    text = [f"w{i}" for i in range(100)]
+    return [" ".join([*text[:-1], f"last{i}"]) for i in range(n)]
+
+
+def test_second_pass_takes_the_text_of_the_class(spark):
+    one, two = near_texts(2)
+    rows = [(1, "some other text of the same id"), (1, one), (2, two)]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    got = Counter((r["doc_id"], r["component_id"]) for r in near_dedup.near_duplicates(docs).collect())
+    assert got == Counter({(1, 1): 2, (2, 1): 1})
+
+
+def test_a_class_without_its_shingle_set_fails_the_job(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(near_texts(3))], DOCS)
+    all_sets = near_dedup._set_batches
+
+    def without_rows(size):
+        made = all_sets(size)
+
+        def run(batches):
+            for batch in made(batches):
+                yield batch.slice(0, 0)
+
+        return run
+
+    monkeypatch.setattr(near_dedup, "_set_batches", without_rows)
+    with pytest.raises(RuntimeError, match="no shingle set"):
+        near_dedup.near_duplicates(docs)
