@@ -250,3 +250,29 @@ def test_damaged_archives_are_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="ends inside"):
         list(warc.records_in(gzip.compress(whole[:-20])))
     assert [h["WARC-Type"] for h, _ in warc.records_in(gzip.compress(whole) + gzip.compress(whole))] == ["response"] * 2
+
+
+def test_fingerprints_do_not_depend_on_the_block():
+    rng = random.Random(5)
+    filler = " ".join(f"f{i}" for i in range(150_000))  # over a block of its own
+    text = " ".join(f"w{rng.randrange(5000)}" for _ in range(400))
+    long_word = "https://example.org/" + "q0" * 40
+    texts = [text, filler, text, long_word, filler, text]
+    prints = fingerprints.as_text(*fingerprints.digits_of([t.encode() for t in texts]))
+    assert prints[0] == prints[2] == prints[5]
+    assert prints[0] == fingerprints.as_text(*fingerprints.digits_of([text.encode()]))[0]
+
+
+def test_near_edited_beside_a_long_word(spark):
+    rng = random.Random(6)
+    text = " ".join(f"w{rng.randrange(5000)}" for _ in range(400))
+    long_text = text + " https://example.org/" + "q0" * 40
+    # Documents follow each other by falling id: 9, 8, 7, 6; the last is followed by the first.
+    rows = [(9, text), (8, text), (7, long_text), (6, text)]
+    got = {r["doc_id"]: r for r in fingerprints.edited_fingerprints(frame(spark, rows)).collect()}
+    alone = fingerprints.as_text(*fingerprints.digits_of([text.encode()]))[0]
+    assert [got[i]["fingerprint"] for i in (9, 8, 6)] == [alone] * 3
+    assert got[9]["near_next"] == 1.0 and got[6]["near_next"] == 1.0
+    assert got[8]["near_next"] > 0.9 and got[7]["near_next"] > 0.9
+    for i in (9, 8, 7, 6):
+        assert got[i]["near_edited"] > 0.4
