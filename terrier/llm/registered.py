@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrier.llm import decontaminate, fingerprints, language_id, line_dedup, packing, personal_data, secrets, token_counts, warc
+from terrier.llm import conversation_trie, decontaminate, fingerprints, language_id, line_dedup, packing, periodic_runs
+from terrier.llm import personal_data, secrets, structure_oracles, token_counts, warc
 from terrier.llm.near_dedup import near_duplicates
 from terrier.session import scratch_path
 
@@ -85,6 +86,18 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of each document, and digests of the texts without their repetitions."""
+    docs = periodic_runs.planted_repeats(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_report(periodic_runs.collapse_runs(docs))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of conversations that share beginnings within families of twenty."""
+    rebuilt = conversation_trie.rebuilt_conversations(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(conversation_trie.as_paths(rebuilt))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,6 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_token_counts,
         op10_fingerprints,
+        op11_periodic_runs,
+        op13_conversation_trie,
     )
 }
 
@@ -167,4 +182,6 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op11_periodic_runs": structure_oracles.periodic_runs(),
+    "op13_conversation_trie": structure_oracles.CONVERSATION_TRIE,
 }
