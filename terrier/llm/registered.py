@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrier.llm import conversation_trie, decontaminate, fingerprints, language_id, line_dedup, packing, periodic_runs
-from terrier.llm import personal_data, secrets, structure_oracles, token_counts, warc
+from terrier.llm import personal_data, repeated_passages, secrets, structure_oracles, token_counts, warc
 from terrier.llm.near_dedup import near_duplicates
 from terrier.session import scratch_path
 
@@ -92,6 +92,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(periodic_runs.collapse_runs(docs))
 
 
+def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document in strings of 100 bytes that start earlier in the corpus, and what is left."""
+    return repeated_passages.passage_report(repeated_passages.remove_repeated(table(spark, sf_dir, "documents")))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of conversations that share beginnings within families of twenty."""
     rebuilt = conversation_trie.rebuilt_conversations(table(spark, sf_dir, "conversations"))
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_counts,
         op10_fingerprints,
         op11_periodic_runs,
+        op12_repeated_passages,
         op13_conversation_trie,
     )
 }
@@ -183,5 +189,6 @@ ORACLES: dict[str, str] = {
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
     "op11_periodic_runs": structure_oracles.periodic_runs(),
+    "op12_repeated_passages": structure_oracles.REPEATED_PASSAGES,
     "op13_conversation_trie": structure_oracles.CONVERSATION_TRIE,
 }
