@@ -221,47 +221,72 @@ def _best_change(sizes: np.ndarray, place: np.ndarray, gap: np.ndarray, source:
     others, room = others[order], room[order]
     first, second = np.triu_indices(len(own), 1)
     given = np.concatenate((sizes[own], sizes[own[first]] + sizes[own[second]]))  # one for one, two for one
-    at = np.searchsorted(room, given)
-    best = None
-    for _ in range(8):  # the tightest room may belong to an item that isn't smaller
-        inside = np.minimum(at, len(room) - 1)
-        left = np.where((at < len(room)) & (sizes[others[inside]] < given), room[inside] - given, np.iinfo(np.int64).max)
-        j = int(left.argmin())
-        if left[j] < np.iinfo(np.int64).max and (best is None or left[j] < best[0]):
-            items = (int(own[j]),) if j < len(own) else (int(own[first[j - len(own)]]), int(own[second[j - len(own)]]))
-            best = (int(left[j]), items, int(others[inside[j]]))
-        at = at + 1
-    return None if best is None else (best[1], best[2], int(place[best[2]]))
-
-
-def improve(sizes: np.ndarray, bins: np.ndarray, capacity: int, tries: int = 8, changes: int = 100) -> np.ndarray:
-    """Local search: empties the emptiest bins while changes raise the sum of squared fills.
-
-    Ends when the bins are as few as the tokens need, or when ``tries`` bins can't be emptied, each
-    within ``changes`` changes. Both bound the search, not what is packed.
+    # The tightest room whose item is smaller than what is given.
+    at = _first_below(sizes[others], np.searchsorted(room, given), given)
+    fits = at < len(room)
+    if not fits.any():
+        return None
+    left = np.where(fits, room[np.minimum(at, len(room) - 1)] - given, np.iinfo(np.int64).max)
+    j = int(left.argmin())
+    items = (int(own[j]),) if j < len(own) else (int(own[first[j - len(own)]]), int(own[second[j - len(own)]]))
+    taken = int(others[at[j]])
+    return items, taken, int(place[taken])
+
+
+def _first_below(values: np.ndarray, at: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """For each start ``at`` the first place from there on whose value is below its limit, or the end."""
+    n = len(values)
+    at = at.copy()
+    inside = np.minimum(at, max(n - 1, 0))
+    for _ in range(4):  # mostly it is near
+        wrong = np.flatnonzero((at < n) & (values[inside] >= limit)) if n else np.empty(0, dtype=np.int64)
+        if not len(wrong):
+            return at
+        at[wrong] += 1
+        inside[wrong] = np.minimum(at[wrong], n - 1)
+    # Least values of 1, 2, 4, ... places; steps over all stretches without a value below the limit.
+    least = [values]
+    while 2 ** len(least) <= n:
+        half = 2 ** (len(least) - 1)
+        least.append(np.minimum(least[-1][:-half], least[-1][half:]))
+    for level in range(len(least) - 1, -1, -1):
+        size = 2**level
+        can = np.flatnonzero(at + size <= n)
+        over = can[least[level][at[can]] >= limit[can]]
+        at[over] += size
+    return at
+
+
+def improve(sizes: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
+    """Local search: empties the emptiest bins by changes that raise the sum of squared fills.
+
+    Ends when the bins are as few as the tokens need, or when a pass over all open bins finds no
+    change any more; it does end, because the sum rises with every change.
     """
     place = bins.copy()
     fewest = -(-int(sizes.sum()) // capacity)
     fill = np.bincount(place, weights=sizes).astype(np.int64)
-    stuck: set[int] = set()
-    while np.count_nonzero(fill) > fewest and len(stuck) < tries:
-        open_bins = [int(b) for b in np.argsort(fill, kind="stable") if 0 < fill[b] < capacity and int(b) not in stuck]
-        if not open_bins:
-            break
-        source = open_bins[0]
-        for _ in range(changes):
-            change = _best_change(sizes, place, np.where(fill > 0, capacity - fill, 0), source) if fill[source] else None
-            if change is None:
+    changed = True
+    while changed and np.count_nonzero(fill) > fewest:
+        changed, tried = False, np.zeros(len(fill), dtype=bool)
+        while np.count_nonzero(fill) > fewest:
+            ahead = np.where((fill > 0) & (fill < capacity) & ~tried, fill, capacity)
+            source = int(ahead.argmin())
+            if ahead[source] == capacity:
                 break
-            given, taken, into = change
-            place[list(given)] = into
-            if taken >= 0:
-                place[taken] = source
-            moved = int(sizes[list(given)].sum()) - (int(sizes[taken]) if taken >= 0 else 0)
-            fill[into] += moved
-            fill[source] -= moved
-        if fill[source]:
-            stuck.add(source)
+            tried[source] = True
+            while fill[source]:
+                change = _best_change(sizes, place, np.where(fill > 0, capacity - fill, 0), source)
+                if change is None:
+                    break
+                given, taken, into = change
+                place[list(given)] = into
+                if taken >= 0:
+                    place[taken] = source
+                moved = int(sizes[list(given)].sum()) - (int(sizes[taken]) if taken >= 0 else 0)
+                fill[into] += moved
+                fill[source] -= moved
+                changed = True
     return place
 
 

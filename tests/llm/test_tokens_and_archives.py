@@ -91,13 +91,56 @@ def test_local_search_empties_bins():
         sizes = rng.integers(1, 100, 100)
         start = packing.best_fit(sizes, 100)
         loose = np.arange(100)  # every item alone: search must do it all
-        assert len(set(packing.improve(sizes, loose, 100, tries=200).tolist())) <= 1.1 * (start.max() + 1)
+        assert len(set(packing.improve(sizes, loose, 100).tolist())) <= 1.1 * (start.max() + 1)
         place = packing.improve(sizes, start, 100)
         fill = np.bincount(place, weights=sizes)
         assert fill.max() <= 100 and fill.sum() == sizes.sum()
         assert squares(sizes, place) >= squares(sizes, start) and np.count_nonzero(fill) <= len(set(start.tolist()))
 
 
+def improving_change_exists(sizes, place, capacity):
+    """Whether moving one, or exchanging one for one or two for one, into a bin no emptier raises the squares."""
+    fill = np.bincount(place, weights=sizes).astype(int)
+    for source in np.flatnonzero((fill > 0) & (fill < capacity)):
+        own = np.flatnonzero(place == source)
+        for into in np.flatnonzero((fill >= fill[source]) & (fill < capacity)):
+            if into == source:
+                continue
+            gap, there = capacity - fill[into], sizes[place == into]
+            given = [int(x) for x in sizes[own]]
+            pairs = [a + b for i, a in enumerate(given) for b in given[i + 1 :]]
+            if any(g <= gap for g in given) or any(t < g <= gap + t for g in given + pairs for t in there):
+                return True
+    return False
+
+
+def test_local_search_ends_where_no_change_is_left():
+    rng = np.random.default_rng(7)
+    for low, high, n in ((25, 45, 120), (1, 100, 100), (30, 70, 90), (10, 30, 150)):
+        sizes = rng.integers(low, high, n)
+        place = packing.improve(sizes, packing.best_fit(sizes, 100), 100)
+        fewest = -(-int(sizes.sum()) // 100)
+        assert len(set(place.tolist())) == fewest or not improving_change_exists(sizes, place, 100)
+
+
+def test_first_below():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        values = rng.integers(0, 9, rng.integers(1, 40))
+        at, limit = rng.integers(0, len(values) + 1, 30), rng.integers(0, 11, 30)
+        want = [next((i for i in range(a, len(values)) if values[i] < x), len(values)) for a, x in zip(at, limit)]
+        assert packing._first_below(values, at, limit).tolist() == want
+
+
+def test_sequences_of_hard_lengths():
+    """Lengths that leave gaps behind: the search must come well below best fit."""
+    sizes = np.random.default_rng(0).integers(500, 900, 1500)
+    start = packing.best_fit(sizes, 2048)
+    place = packing.improve(sizes, start, 2048)
+    assert np.bincount(place, weights=sizes).max() <= 2048
+    assert len(set(place.tolist())) <= 0.97 * (start.max() + 1)
+
+
 def best_segmentation(word, scores, unknown):
     text = token_counts.MARK + word
     best = [(0.0, 0)] + [(-math.inf, 0)] * len(text)
