@@ -10,17 +10,15 @@ blocks that stayed underfull are dealt anew and packed and searched once more.
 
 from __future__ import annotations
 
-import re
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrier.llm.words import as_bytes
 from terrier.session import materialize
 
 CAPACITY = 2048
@@ -28,135 +26,194 @@ CAPACITY = 2048
 END = 0
 #: Pieces packed by one task; their number per block stays the same at every size.
 BLOCK_ITEMS = 20_000
-#: Words, and pre-tokens, whose ids a worker remembers in each of two generations; bounds its memory only.
-REMEMBERED = 250_000
-#: Characters of text whose new words are tokenized together.
-BLOCK_CHARS = 2_000_000
-
-#: The pre-token rule of the vocabulary file.
-_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-_ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-#: White space to Python, but not to the tokenizer.
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: Bytes of text whose distinct words are tokenized together; bounds a task's memory.
+BLOCK_BYTES = 8 << 20
+#: Strings tokenized by one call.
+STRINGS_AT_ONCE = 4000
+
+#: Stands alone between strings; a string that holds it is tokenized by itself.
+_MARK = "\0"
+_GAP = np.zeros(256, dtype=bool)
+_GAP[[9, 10, 11, 12, 13, 32]] = True
+#: Letters, digits and other ASCII characters; bytes of longer characters are of no class at first.
+_LETTER, _DIGIT, _OTHER, _LONG = range(4)
+_CLASS = np.full(256, _OTHER, dtype=np.int8)
+_CLASS[65:91] = _CLASS[97:123] = _LETTER
+_CLASS[48:58] = _DIGIT
+_CLASS[128:] = _LONG
+
+
+def _normal(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each byte, and the bytes in lower case.
+
+    Characters from U+00C0 to U+00FF are letters too, but for U+00D7 and U+00F7; those up to U+00DE are capitals.
+    """
+    kind, lower = _CLASS[data], data.copy()
+    lower[(data >= 65) & (data <= 90)] += 32
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    second = second[(data[second] & 0xDF) != 0x97]
+    kind[second - 1] = kind[second] = _LETTER
+    lower[second[data[second] <= 0x9E]] += 32
+    return kind, lower
 
 
-class _Memory(dict):
-    """Entries of the last two generations, so that what is often used stays."""
+def _strings(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct strings of ``data`` cut at ``offsets``, and which of them each string is."""
+    buffers = [None, pa.py_buffer(np.ascontiguousarray(offsets, dtype=np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, buffers).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64)
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.older: dict = {}
 
-    def unknown(self, keys: set[str]) -> set[str]:
-        """The keys that must be learnt; the others are present afterwards."""
-        if len(self) > REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        new = keys - self.keys()
-        for key in new & self.older.keys():
-            self[key] = self.older[key]
-            new.discard(key)
-        return new
+def _spread(index: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the elements of a sequence of lists that lie in a row, and how many each member of it has."""
+    lengths = sizes[index]
+    begin = (np.cumsum(sizes) - sizes)[index]
+    before = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(begin - before, lengths), lengths
 
 
 class WordIds:
-    """Token ids of texts as little-endian 32-bit bytes.
-
-    A token never reaches over white space, so a text's ids are those of its words in a row, and a
-    word's those of its pre-tokens. Both repeat, so each is tokenized once and remembered. New
-    pre-tokens are tokenized many at a time; the last token of each is marked as a word end.
+    """Token ids of texts, as the tokenizer gives them for whole texts.
+
+    A token never reaches over white space, nor over the edge of a pre-token: a run of letters, a
+    digit, or a run of other characters. So a text's ids are those of its words in a row, and a word's those
+    of its pre-tokens. Both are cut and put in lower case by array operations, and the distinct pre-tokens
+    of a block are tokenized many at a time; the last token of each is marked as a word end. Words with other
+    letters than those of Latin-1, with an apostrophe (which may belong to a pre-token with letters) or with what
+    may be a special token are tokenized whole, with a mark between them; special tokens are found there as
+    they are in texts.
     """
 
     def __init__(self, tokenizer_path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        (self.mark,) = self.encode(_MARK)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words, self.parts = _Memory(), _Memory()
-
-    def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn_parts(self, parts: list[str], at_once: int = 2000) -> None:
-        for first in range(0, len(parts), at_once):
-            some = parts[first : first + at_once]
-            (found,) = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1 if len(ids) and ids.max() < len(self.ends) else np.zeros(0, int)
-            if len(ends) == len(some) and ends[-1] == len(ids):
-                data, at = ids.tobytes(), (ends * 4).tolist()
-                for part, start, end in zip(some, [0, *at], at):
-                    self.parts[part] = data[start:end]
-            else:  # a pre-token that the tokenizer sees as none or several
-                for part in some:
-                    self.parts[part] = self.encode(part)
-
-    def _learn_words(self, words: set[str]) -> None:
-        cut = {}
-        for word in words:
-            if word.isascii():
-                cut[word] = _ASCII_PARTS.findall(word.lower())
+        self.without_normalizer = Tokenizer.from_file(tokenizer_path)
+        self.without_normalizer.normalizer = normalizers.Sequence([])
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _of_strings(self, strings: list[bytes], cut: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of strings without white space in a row, and how many each has.
+
+        ``cut`` strings are single pre-tokens in lower case.
+        """
+        found: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
+        for first in range(0, len(strings), STRINGS_AT_ONCE):
+            some = [x.decode("utf-8", "replace") for x in strings[first : first + STRINGS_AT_ONCE]]
+            tokenizer, joined = (self.without_normalizer, " ".join(some)) if cut else (self.tokenizer, f" {_MARK} ".join(some))
+            (encoded,) = tokenizer.encode_batch_fast([joined], add_special_tokens=False)
+            ids = np.array(encoded.ids, dtype="<u4")
+            if cut:
+                last = np.flatnonzero(self.ends[ids])
+                size, right = np.diff(last, prepend=-1), len(last) == len(some) and last[-1] == len(ids) - 1
             else:
-                cut[word] = _PARTS.findall(unicodedata.normalize("NFC", word).replace("Σ", "σ").lower())
-        self._learn_parts(list(self.parts.unknown({part for parts in cut.values() for part in parts})))
-        for word, parts in cut.items():
-            self.words[word] = b"".join([self.parts[part] for part in parts])
-
-    def texts(self, texts: list[str]) -> list[bytes]:
-        split = [[] if _ODD_SPACE.search(text) else text.split() for text in texts]
-        distinct: set[str] = set()
-        for words in split:
-            distinct.update(words)
-        new = self.words.unknown(distinct)
-        if new:
-            self._learn_words(new)
-        ids_of = self.words.__getitem__
-        return [b"".join(map(ids_of, words)) if words else self.encode(text) for words, text in zip(split, texts)]
+                marks = np.flatnonzero(ids == self.mark)
+                size, right = np.diff(np.concatenate(([-1], marks, [len(ids)]))) - 1, len(marks) == len(some) - 1
+                ids = ids[ids != self.mark]
+            if right:
+                found.append(ids)
+                sizes.append(size)
+            else:  # one that holds the mark itself, or isn't what it seems
+                alone = [self.encode(x) for x in some]
+                found += alone
+                sizes.append(np.array([len(x) for x in alone]))
+        return np.concatenate([np.empty(0, "<u4"), *found]), np.concatenate([np.empty(0, np.int64), *sizes]).astype(np.int64)
+
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words in a row, and how many each has."""
+        if not len(words):
+            return self._of_strings([], True)
+        offsets = np.frombuffer(words.buffers()[1], dtype=np.int64)[: len(words) + 1]
+        data = np.frombuffer(words.buffers()[2], dtype=np.uint8)[: offsets[-1]]
+        kind, lower = _normal(data)
+        special = (data == ord("<")) & (np.append(data[1:], 0) == ord("|"))
+        whole = np.add.reduceat((kind == _LONG) | (data == ord("'")) | special, offsets[:-1]) > 0
+        inside = np.repeat(whole, np.diff(offsets))
+        # Edges of pre-tokens: words, changes of class, every digit; words to be taken whole have none inside.
+        edge = np.concatenate(([True], (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT))) & ~inside
+        edge[offsets[:-1]] = True
+        cuts = np.flatnonzero(edge)
+        word_of = np.searchsorted(offsets, cuts, side="right") - 1
+        parts, which = _strings(np.where(inside, data, lower), np.append(cuts, len(data)))
+        # A string that occurs both as a word to be taken whole and as a part of one can't be: whole words hold what parts don't.
+        as_whole = np.zeros(len(parts), dtype=bool)
+        as_whole[which] = whole[word_of]
+        listed = parts.to_pylist()
+        by_kind = [self._of_strings([listed[i] for i in np.flatnonzero(as_whole == kind)], not kind) for kind in (False, True)]
+        ids, counts = np.concatenate([x[0] for x in by_kind]), np.concatenate([x[1] for x in by_kind])
+        rank = np.empty(len(parts), dtype=np.int64)
+        rank[np.concatenate([np.flatnonzero(~as_whole), np.flatnonzero(as_whole)])] = np.arange(len(parts))
+        places, lengths = _spread(rank[which], counts)
+        return ids[places], np.bincount(word_of, weights=lengths, minlength=len(words)).astype(np.int64)
+
+    def texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts in a row, each with the end id after it, and how many each has."""
+        data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
+        inside = ~_GAP[data]
+        edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
+        starts, ends = edges[0::2], edges[1::2]  # the last byte is a space, so every word ends
+        distinct, which = _strings(data[inside], np.concatenate(([0], np.cumsum(ends - starts))))
+        ids, sizes = self._of_words(distinct)
+        # The end id is one more word, which follows each text's own.
+        ids, sizes = np.append(ids, np.uint32(END)).astype("<u4"), np.append(sizes, 1)
+        text_starts = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))[:-1]
+        first_word = np.append(np.searchsorted(starts, text_starts), len(starts))
+        places, lengths = _spread(np.insert(which, first_word[1:], len(distinct)), sizes)
+        last = np.cumsum(lengths)[first_word[1:] + np.arange(len(texts))]
+        return ids[places], np.diff(np.concatenate(([0], last)))
 
 
 _WORD_IDS: dict[str, WordIds] = {}
 
 
 def word_ids(tokenizer_path: str) -> WordIds:
-    """The worker's own memory of words; it lasts from task to task."""
+    """The worker's own tokenizer; it lasts from task to task."""
     if tokenizer_path not in _WORD_IDS:
         _WORD_IDS[tokenizer_path] = WordIds(tokenizer_path)
     return _WORD_IDS[tokenizer_path]
 
 
-def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _blocks(texts: list[bytes]) -> Iterator[tuple[int, int]]:
     start = size = 0
     for i, text in enumerate(texts):
         size += len(text)
-        if size >= BLOCK_CHARS or i + 1 == len(texts):
+        if size >= BLOCK_BYTES or i + 1 == len(texts):
             yield start, i + 1
             start, size = i + 1, 0
 
 
 def _pieces(tokenizer_path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = word_ids(tokenizer_path), np.array([END], dtype="<u4").tobytes()
+        ids_of = word_ids(tokenizer_path)
         for batch in batches:
-            owner, rows = [], []
-            texts = [text or "" for text in batch.column(1).to_pylist()]
+            texts = [text or b"" for text in as_bytes(batch.column(1))]
             for first, last in _blocks(texts):
-                for i, ids in enumerate(ids_of.texts(texts[first:last]), first):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at : at + 4 * capacity]
-                        owner.append(i)
-                        rows.append((piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            columns = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(owner, pa.int64())),
-                    *[pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
-                ],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+                ids, counts = ids_of.texts(texts[first:last])
+                pieces = -(-counts // capacity)
+                owner = np.repeat(np.arange(len(counts)), pieces)
+                piece = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(counts[owner] - start, capacity)
+                at = (np.cumsum(counts) - counts)[owner] + start
+                data = memoryview(ids).cast("B")
+                checks = [zlib.crc32(data[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(owner + first)),
+                        pa.array(piece.astype(np.int32)),
+                        pa.array(start),
+                        pa.array(length),
+                        pa.array(checks, pa.int64()),
+                    ],
+                    ["doc_id", "piece", "start", "length", "ids_crc32"],
+                )
 
     return run
 
@@ -164,7 +221,8 @@ def _pieces(tokenizer_path: str, capacity: int):
 def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: each document's ids and the end id, cut at the capacity.
 
-    A null or empty text is the end id alone; repeated rows are documents of their own.
+    A null or empty text is the end id alone; repeated rows are documents of their own. A special token's
+    string in a text is that token, as it is to the tokenizer by default.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()

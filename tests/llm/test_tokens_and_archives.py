@@ -27,36 +27,48 @@ ODD_TEXTS = [
 ]
 
 
-def test_word_ids_are_the_tokenizers():
+def plain_ids(texts):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(BPE)
-    plain.encode_special_tokens = True
-    mine = packing.WordIds(BPE)
+    return [plain.encode(text or "", add_special_tokens=False).ids + [packing.END] for text in texts]
+
+
+def word_ids(texts):
+    ids, counts = packing.WordIds(BPE).texts([(text or "").encode() for text in texts])
+    return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+def test_word_ids_are_the_tokenizers():
+    assert word_ids(ODD_TEXTS) == plain_ids(ODD_TEXTS)
     for text in ODD_TEXTS:
-        ids = plain.encode(text or "", add_special_tokens=False).ids
-        assert np.frombuffer(mine.texts([text or ""])[0], dtype="<u4").tolist() == ids, text
+        assert word_ids([text]) == plain_ids([text]), text
+    assert word_ids(["a <|endoftext|> b"]) == [[320, 49407, 321, 0]]
 
 
-def test_word_ids_of_real_texts_and_small_memories(spark, monkeypatch):
-    from tokenizers import Tokenizer
+def test_word_ids_of_random_texts():
+    rng = random.Random(11)
+    letters = list("aZ19 '\n\t.<|>_-") + ["'s", "'LL", "é", "É", "ß", "ÿ", "×", "÷", "İ", "ª", "\u0301", "\0", "Σ", "日", "😀", "\x85", "\xa0", "<|endoftext|>", "<|STARTOFTEXT|>", "ﬁ", "ẞ"]
+    texts = ["".join(rng.choices(letters, k=rng.randrange(0, 14))) for _ in range(4000)]
+    for some in (texts, [t.replace("\0", "") for t in texts]):
+        assert word_ids(some) == plain_ids(some)
+
 
-    monkeypatch.setattr(packing, "REMEMBERED", 50)
-    plain, mine = Tokenizer.from_file(BPE), packing.WordIds(BPE)
+def test_word_ids_of_real_texts(spark, monkeypatch):
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
-    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
-    for step in (1, 7, 200):
-        got = [x for i in range(0, len(texts), step) for x in mine.texts(texts[i : i + step])]
-        assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == want
+    want = plain_ids(texts)
+    monkeypatch.setattr(packing, "STRINGS_AT_ONCE", 50)
+    assert word_ids(texts) == want
+    assert [x for i in range(0, len(texts), 7) for x in word_ids(texts[i : i + 7])] == want
 
 
 def test_pieces_and_sequences(spark):
     rng = random.Random(1)
     rows = list(enumerate(ODD_TEXTS)) + [(100 + i, "tea " * rng.randrange(1, 3000)) for i in range(80)] + [(7, "twice"), (7, "twice"), (None, "no id")]
     got = packing.pack_documents(frame(spark, rows), BPE).collect()
-    mine, want = packing.WordIds(BPE), []
-    for i, text in rows:
-        ids = mine.texts([text or ""])[0] + b"\0\0\0\0"
+    want = []
+    for (i, _), plain in zip(rows, plain_ids([text for _, text in rows])):
+        ids = np.array(plain, dtype="<u4").tobytes()
         for n, at in enumerate(range(0, len(ids), 8192)):
             part = ids[at : at + 8192]
             want.append((str(i), n, at // 4, len(part) // 4, zlib.crc32(part)))
