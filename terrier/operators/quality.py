@@ -165,20 +165,27 @@ def check(
     expected: DataFrame | None = None,
     baseline: DataFrame | None = None,
     dept: str = "dept",
+    covered: DataFrame | None = None,
 ) -> DataFrame:
     """All findings on the prepared tables (source name to table).
 
     ``expected`` holds the (source, dept) pairs that must be there; a NULL dept only requires
-    the source to have produced something.
+    the source to have produced something. ``covered`` holds the pairs that runs have covered, with or
+    without rows: such a pair is there, and whether it may be empty is for the volume check to say.
     """
+    if not tables and covered is None:
+        raise ValueError("no dataset to verify")
     # A row per source and department, read by up to four checks: computed once.
-    stats = materialize(reduce(DataFrame.unionByName, [measure(t, name, dept) for name, t in tables.items()]), "quality-statistics")
-    filled = with_expected(stats, expected.filter("dept IS NOT NULL") if expected is not None else None)
+    measured = [measure(t, name, dept) for name, t in tables.items()] or [measure(covered.limit(0), "", "dept")]
+    stats = materialize(reduce(DataFrame.unionByName, measured), "quality-statistics")
+    asked = [x.filter("dept IS NOT NULL").select("source", "dept") for x in (expected, covered) if x is not None]
+    filled = with_expected(stats, reduce(DataFrame.union, asked).distinct() if asked else None)
     findings = [volume_findings(filled), bounds_findings(stats)]
     if baseline is not None:
         findings.append(regression_findings(stats, baseline))
     if expected is not None:
-        findings.append(presence_findings(expected, stats))
+        there = stats.select("source", "dept")
+        findings.append(presence_findings(expected, there if covered is None else there.union(covered.select("source", "dept"))))
     return reduce(DataFrame.unionByName, findings)
 
 

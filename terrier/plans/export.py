@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrier.sources import landing
+from terrier.sources import coverage, landing, ledger
 from terrier.sources.tables import PARTITION, read_table
 
 # Type names of the target database, columns worth an index, licence text.
@@ -51,12 +51,13 @@ def layout_columns(df: DataFrame) -> list[str]:
     return next((cols for cols in SORT_ORDER if set(cols) <= set(df.columns)), [])
 
 
-def write_table(df: DataFrame, path: str, dept: str = "code_departement", mode: str = "overwrite") -> None:
+def write_table(df: DataFrame, path: str, dept: str = "code_departement", mode: str = "replace") -> None:
     """One zstd Parquet dataset, partitioned by department.
 
     Rows are rebalanced on the department: small ones share a task, a huge one is split over
     several. Each task sorts its own rows; a global sort would add a pass and order nothing the
-    partitions do not. ``mode="replace"`` rewrites only the departments present in ``df``.
+    partitions do not. ``mode="replace"`` rewrites only the departments present in ``df``; :func:`write_run` also
+    removes those that ran empty.
     """
     keyed = df.withColumn(PARTITION, F.col(dept)) if dept != PARTITION else df
     writer = (
@@ -72,6 +73,27 @@ def write_table(df: DataFrame, path: str, dept: str = "code_departement", mode:
         writer.mode(mode).parquet(path)
 
 
+def write_run(df: DataFrame, path: str, within: coverage.Scope, found: set[str | None], dept: str = "code_departement", mode: str = "replace") -> DataFrame:
+    """Writes the rows of a run, removes departments it covered that have none any more, and records it all.
+
+    A department was written if the file that was first in it is there no more, and its rows are in the files' footers.
+    Returns the table as it is now, with the columns of ``df`` even if it holds no row at all.
+    """
+    spark = df.sparkSession
+    before = {name: ledger.first_file(spark, f"{path}/{name}") for name in coverage.department_folders(spark, path)}
+    write_table(df, path, dept, mode)
+    new = [n for n in coverage.department_folders(spark, path) if not (before.get(n) and ledger.exists(spark, f"{path}/{n}/{before[n]}"))]
+    written = {coverage.department_of(name) for name in new}
+    schema = df.schema if dept == PARTITION else T.StructType([*df.schema, T.StructField(PARTITION, T.StringType())])
+    now = spark.read.schema(schema).parquet(path)
+    rows = {}
+    if written:
+        here = F.coalesce(F.col(PARTITION).isin(*[d for d in written if d is not None]), F.lit(None in written))
+        rows = {r[PARTITION]: r["count"] for r in now.filter(here).groupBy(PARTITION).count().collect()}
+    coverage.close_run(spark, path, within, rows, found)
+    return spark.read.schema(schema).parquet(path)
+
+
 def csv_columns(df: DataFrame) -> list[Column]:
     """Columns as the CSV prints them: binary in the hexadecimal form databases load."""
     return [

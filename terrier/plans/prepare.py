@@ -11,7 +11,7 @@ import warnings
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrier.functions.territories import DEPARTMENTS, parse_selector, require_known_territories, select_departments
+from terrier.functions.territories import require_known_territories, select_departments
 from terrier.operators import reports
 from terrier.operators.buildings import prepare_building_rows
 from terrier.operators.changes import changed_sources, remember
@@ -23,9 +23,10 @@ from terrier.operators.sales import add_price_flag, add_sale_key, collapse, mark
 from terrier.operators.sources import prefer_later_sources, sale_match_key
 from terrier.plans import export
 from terrier.session import materialize, scratch_scope
-from terrier.sources import delimited
+from terrier.sources import coverage, delimited
+from terrier.sources.coverage import Scope
 from terrier.sources.delimited import path_exists
-from terrier.sources.tables import manifest_baseline, missing_partitions, produced, read_table, read_table_or_none
+from terrier.sources.tables import PARTITION, datasets, manifest_baseline, read_table, read_table_or_none
 
 
 def effective_lines(sources: list[DataFrame]) -> DataFrame:
@@ -58,20 +59,16 @@ def selected(table: DataFrame, departments: str | list[str] | None) -> DataFrame
     return select_departments(table, departments, "code_departement")
 
 
-def still_missing(spark: SparkSession, out: str, departments: str | list[str] | None) -> list[str]:
-    """The requested departments (all of the territory list if none is named) without rows below ``out`` yet."""
-    codes = parse_selector(departments) if not isinstance(departments, list) else departments
-    requested = spark.createDataFrame([("t", c) for c in codes or DEPARTMENTS], "source string, dept string")
-    table = read_table_or_none(spark, out)
-    existing = produced({"t": table}) if table is not None else requested.limit(0)
-    return sorted(r["dept"] for r in missing_partitions(requested, existing).collect())
-
-
 def fetched(report: DataFrame) -> DataFrame:
     """A report (a row per department at most) that no longer depends on scratch tables."""
     return report.sparkSession.createDataFrame(report.collect(), report.schema)
 
 
+def nothing_new(within: Scope, found: set[str | None]) -> bool:
+    """Whether an unforced run has no department left: none the input names, and none it was asked for."""
+    return not any(d in within for d in found | set(within.only or ()))
+
+
 def prepare_sales(
     spark: SparkSession,
     sources: list[list[str]],
@@ -83,17 +80,23 @@ def prepare_sales(
     """Landed sale files (one list of paths per source, archive first) to the sale table.
 
     Text is parsed once: each source is staged as Parquet, and collapse and report read that. Only
-    the departments of the run are rewritten; ``mode="overwrite"`` starts the table afresh. Without
-    ``force`` departments that are there already stay as they are.
+    the departments of the run are rewritten, and those of them that have no sale any more are emptied;
+    ``mode="overwrite"`` starts the table afresh. Without ``force`` departments that a run has covered stay as
+    they are, whichever departments the lines name; if there is no other, only their names are read.
     """
-    if not force and not (departments := still_missing(spark, out, departments)):
-        return reports.sales_report(read_table(spark, out))
+    within = coverage.scope(spark, out, departments, force)
+    scans = delimited.scan_sale_lines(spark, sources)
+    if within.done:
+        named = {d for scan in scans for d in coverage.departments_of(scan, "code_departement")}
+        if within.empty or nothing_new(within, named):
+            return reports.sales_report(read_table(spark, out))
     with scratch_scope(spark):
-        scans = [materialize(s, "landed-lines") for s in delimited.scan_sale_lines(spark, sources)]
-        lines = materialize(effective_lines(scans), "sale-lines")
-        export.write_table(selected(sales_from_lines(lines), departments), out, mode=mode)
-        report = reports.sales_report(read_table(spark, out), lines)
-        return fetched(selected(report, departments))
+        lines = materialize(effective_lines([materialize(s, "landed-lines") for s in scans]), "sale-lines")
+        found = coverage.departments_of(lines, "code_departement")
+        sales = sales_from_lines(lines).filter(within.holds(F.col("code_departement")))
+        table = export.write_run(sales, out, within, found, mode=mode)
+        report = reports.sales_report(table, lines)
+        return fetched(report.filter(within.holds(F.col("code_departement"))))
 
 
 def prepare_diagnostics(
@@ -111,20 +114,24 @@ def prepare_diagnostics(
     nothing is computed before they pass. A diagnostic may be cited from any department, so all
     pages count for the mark even if the run asks for some departments. ``force`` as for sales.
     """
-    if not force and not (departments := still_missing(spark, out, departments)):
-        return reports.diagnostics_report(read_table(spark, out))
+    within = coverage.scope(spark, out, departments, force)
+    key = "code_departement_ban"
     with scratch_scope(spark):
         if isinstance(pages, DataFrame):
             raw = delimited.align_labels(pages)
         else:
             raw = materialize(delimited.scan_diagnostics(spark, pages), "diagnostic-pages")
-        wanted = select_departments(raw, departments, "code_departement_ban")
-        if wanted.isEmpty():
+        found = coverage.departments_of(raw, key)
+        if within.done and (within.empty or nothing_new(within, found)):
+            return reports.diagnostics_report(read_table(spark, out))
+        wanted = raw.filter(within.holds(F.col(key)))
+        if not any(d in within for d in found):
             raise ValueError("no diagnostic to prepare")
-        require_known_territories(wanted.filter(F.col("code_departement_ban").isNotNull()), "code_departement_ban")
-        export.write_table(selected(prepare_diagnostic_rows(raw, scope), departments), out, mode=mode)
-        read = wanted.groupBy(F.col("code_departement_ban").alias("code_departement")).agg(F.count(F.lit(1)).alias("lignes_source"))
-        report = reports.diagnostics_report(selected(read_table(spark, out), departments))
+        require_known_territories(wanted.filter(F.col(key).isNotNull()), key)
+        rows = prepare_diagnostic_rows(raw, scope).filter(within.holds(F.col("code_departement")))
+        table = export.write_run(rows, out, within, found, mode=mode)
+        read = wanted.groupBy(F.col(key).alias("code_departement")).agg(F.count(F.lit(1)).alias("lignes_source"))
+        report = reports.diagnostics_report(table.filter(within.holds(F.col("code_departement"))))
         same = F.col("code_departement").eqNullSafe(F.col("_read"))
         report = report.join(read.withColumnRenamed("code_departement", "_read"), same, "left").drop("_read")
         return fetched(report)
@@ -137,14 +144,20 @@ def prepare_buildings(
     departments: str | list[str] | None = None,
     srid: int | None = None,
     mode: str = "replace",
+    force: bool = True,
 ) -> tuple[DataFrame, list[str]]:
-    """Building tables below ``root`` to the building table; also names the absent tables."""
+    """Building tables below ``root`` to the building table; also names the absent tables. ``force`` as for sales."""
+    within = coverage.scope(spark, out, departments, force)
     with scratch_scope(spark):
         tables = delimited.scan_building_tables(spark, root)
-        codes = parse_selector(departments) if not isinstance(departments, list) else departments
-        export.write_table(prepare_building_rows(tables, codes, srid), out, mode=mode)
         absent = sorted(t for a, t in delimited.BUILDING_TABLES.items() if a not in tables)
-        return fetched(reports.buildings_report(selected(read_table(spark, out), departments))), absent
+        found = coverage.departments_of(tables["groupe"], "code_departement_insee")
+        if within.done and (within.empty or nothing_new(within, found)):
+            return reports.buildings_report(read_table(spark, out)), absent
+        tables["groupe"] = tables["groupe"].filter(within.holds(F.col("code_departement_insee")))
+        table = export.write_run(prepare_building_rows(tables, srid=srid), out, within, found, mode=mode)
+        report = reports.buildings_report(table.filter(within.holds(F.col("code_departement"))))
+        return fetched(report), absent
 
 
 def prepare_joint(
@@ -153,20 +166,29 @@ def prepare_joint(
     out: str,
     buildings: str | None = None,
     diagnostics: str | None = None,
+    departments: str | list[str] | None = None,
     mode: str = "replace",
+    force: bool = True,
 ) -> tuple[DataFrame, list[str]]:
     """Prepared tables to the joint table; also names the sources it had to do without.
 
-    Without buildings it warns: :func:`reports.joint_warning`.
+    Departments are those the sales cover, and of the sales only those of the run are read. Without
+    buildings it warns: :func:`reports.joint_warning`. ``force`` as for sales.
     """
     known = read_table_or_none(spark, buildings)
     energy = read_table_or_none(spark, diagnostics)
+    absent = reports.absent_sources(known, energy)
+    within = coverage.scope(spark, out, departments, force)
+    sold = read_table(spark, sales)
+    found = coverage.departments_of(sold, PARTITION) | set(coverage.covered_departments(spark, sales))
+    if within.done and (within.empty or nothing_new(within, found)):
+        return reports.joint_report(read_table(spark, out)), absent
     if warning := reports.joint_warning(known):
         warnings.warn(warning, stacklevel=2)
     with scratch_scope(spark):
-        joint = enrich_sales(read_table(spark, sales).drop("dept"), known, energy)
-        export.write_table(joint, out, mode=mode)
-        return fetched(reports.joint_report(read_table(spark, out))), reports.absent_sources(known, energy)
+        joint = enrich_sales(sold.filter(within.holds(F.col(PARTITION))).drop(PARTITION), known, energy)
+        table = export.write_run(joint, out, within, found, mode=mode)
+        return fetched(reports.joint_report(table.filter(within.holds(F.col("code_departement"))))), absent
 
 
 def refresh_marks(spark: SparkSession, seen: DataFrame, path: str) -> DataFrame:
@@ -178,23 +200,34 @@ def refresh_marks(spark: SparkSession, seen: DataFrame, path: str) -> DataFrame:
     return changed
 
 
+def covered_pairs(spark: SparkSession, out: str, sources: list[str]) -> DataFrame:
+    """``source, dept`` of what runs have covered, rows or not."""
+    pairs = [(s, d) for s in sources for d in coverage.covered_departments(spark, f"{out}/{s}") if d is not None]
+    return spark.createDataFrame(pairs, "source string, dept string")
+
+
 def verify(
     spark: SparkSession,
     out: str,
-    sources: list[str],
+    sources: list[str] | None = None,
     expected: DataFrame | None = None,
     manifest_path: str | None = None,
 ) -> DataFrame:
-    """Findings on the tables below ``out``; raises when one of them blocks."""
-    found = {s: read_table_or_none(spark, f"{out}/{s}") for s in sources}
+    """Findings on the tables below ``out``; raises when one of them blocks.
+
+    Without ``sources`` the tables are those that are there; those named must be there.
+    """
+    named = sources if sources is not None else datasets(spark, out)
+    found = {s: read_table_or_none(spark, f"{out}/{s}") for s in named}
     tables = {s: t for s, t in found.items() if t is not None}
-    if not tables:
+    pairs = covered_pairs(spark, out, named)
+    if not tables and pairs.isEmpty():
         raise ValueError("no dataset to verify")
     if expected is None:
-        expected = spark.createDataFrame([(s, None) for s in sources], "source string, dept string")
+        expected = spark.createDataFrame([(s, None) for s in named], "source string, dept string")
     baseline = manifest_baseline(spark.read.text(manifest_path, wholetext=True)) if manifest_path else None
     with scratch_scope(spark):
-        findings = fetched(check(tables, expected, baseline))
+        findings = fetched(check(tables, expected, baseline, covered=pairs))
     require_publishable(findings)
     return findings
 
@@ -202,18 +235,23 @@ def verify(
 def publish(
     spark: SparkSession,
     out: str,
-    sources: list[str],
-    vintage: str,
+    sources: list[str] | None = None,
+    vintage: str = "",
     expected: DataFrame | None = None,
     manifest_path: str | None = None,
     unchecked: bool = False,
 ) -> DataFrame:
-    """Exports what is below ``out`` once it has passed :func:`verify`, and returns the manifest.
+    """Exports what is below ``out`` (all of it, or ``sources``) once it has passed :func:`verify`, and returns the manifest.
 
     ``unchecked`` is the explicit way round a refusal. A source that was not prepared fails the
     check; where that is overridden it is passed over.
     """
+    if not vintage:
+        raise ValueError("a publication needs the name of its vintage")
     if not unchecked:
         verify(spark, out, sources, expected, manifest_path)
-    there = [s for s in sources if path_exists(spark, f"{out}/{s}")]
+    named = sources if sources is not None else datasets(spark, out)
+    there = [s for s in named if read_table_or_none(spark, f"{out}/{s}") is not None]
+    if not there:
+        raise ValueError("no dataset to publish")
     return export.publish(spark, out, there, vintage)

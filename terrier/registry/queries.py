@@ -17,10 +17,11 @@ from terrier.operators.joint import enrich_sales
 from terrier.operators.ranking import largest_group
 from terrier.operators.sources import prefer_later_sources, reconcile, sale_match_key, upsert
 from terrier.plans import export
-from terrier.plans.prepare import effective_lines, sales_from_lines, selected
+from terrier.plans.prepare import covered_pairs, effective_lines, sales_from_lines, selected
 from terrier.registry import analogues as an
 from terrier.session import materialize, scratch_path
-from terrier.sources import delimited, landing
+from terrier.sources import coverage, delimited, landing
+from terrier.sources.coverage import Scope
 from terrier.sources.tables import manifest_baseline, missing_partitions, read_table
 from terrier.streaming.pages import ingest_pages
 from terrier.streaming.upsert import stream_upsert
@@ -499,20 +500,49 @@ def upsert_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def missing_partitions_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Departments known to the sales for which no diagnostic partition exists yet."""
+    """Departments known to the sales that the record of the diagnostics doesn't cover.
+
+    The diagnostics were prepared in two runs, the second for some departments by name, found empty or not.
+    """
     requested = an.sale_lines(spark, sf).select(F.lit("dpe").alias("source"), F.col("code_departement").alias("dept")).distinct()
-    existing = an.diagnostics_raw(spark, sf).select(
-        F.lit("dpe").alias("source"), F.col("code_departement_ban").alias("dept")
-    )
+    path = scratch_path(spark, "diagnostics")
+    raw = an.diagnostics_raw(spark, sf).groupBy(F.col("code_departement_ban").alias("dept")).count()
+    coverage.add_run(spark, path, {r["dept"]: r["count"] for r in raw.collect()})
     kept = an.building_tables(spark, sf)["topo"].select(
-        F.lit("dpe").alias("source"), an.code(F.expr("cast(substring(batiment_groupe_id, 2) as bigint) % 19 + 1"), 2).alias("dept")
-    ).filter(F.col("dept") < "10")
-    return missing_partitions(requested, existing.unionByName(kept))
+        an.code(F.expr("cast(substring(batiment_groupe_id, 2) as bigint) % 19 + 1"), 2).alias("dept")
+    )
+    asked = coverage.departments_of(kept.filter(F.col("dept") < "10"), "dept")
+    if asked:
+        coverage.add_run(spark, path, dict.fromkeys(asked, 0))
+    return missing_partitions(requested, coverage.covered(spark, path).select(F.lit("dpe").alias("source"), "dept"))
+
+
+def coverage_record(spark: SparkSession, sf: str) -> DataFrame:
+    """The sale table after a second landing without one department: its record, and the rows that are there."""
+    path, sales = scratch_path(spark, "sales"), materialize(full_sales(spark, sf), "all-sales")
+    lines = an.sale_lines(spark, sf)
+    export.write_run(sales, path, Scope(), coverage.departments_of(lines, "code_departement"))
+    landed = F.col("code_departement") != "03"
+    second = export.write_run(
+        sales.filter(landed), path, Scope(), coverage.departments_of(lines.filter(landed), "code_departement")
+    )
+    there = second.groupBy("dept").agg(F.count(F.lit(1)).alias("rows_there"))
+    record = coverage.covered(spark, path)
+    return record.join(there, "dept", "left").select("dept", "rows", F.coalesce("rows_there", F.lit(0)).alias("rows_there"), "run")
 
 
 # Quality
 
 
+def coverage_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    """The verdict where a run of the sales has covered every territory, with rows or not."""
+    out = scratch_path(spark, "out")
+    coverage.add_run(spark, f"{out}/dvf", dict.fromkeys(coverage.departments_of(territories.territories(spark), "dept"), 0))
+    pairs = covered_pairs(spark, out, ["dvf", "dpe"])
+    found = quality.check(prepared(spark, sf), expected_pairs(spark, sf), older_counts(spark, sf), covered=pairs)
+    return quality.verdict(found, ["source"])
+
+
 def prepared(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {
         "dvf": flagged(spark, sf).withColumnRenamed("code_departement", "dept"),
@@ -704,6 +734,8 @@ REGISTERED = {
     "manifest_build": manifest_build,
     "upsert_by_key": upsert_by_key,
     "missing_partitions": missing_partitions_query,
+    "coverage_record": coverage_record,
+    "coverage_verdict": coverage_verdict,
     "quality_volume": quality_volume,
     "quality_bounds": quality_bounds,
     "quality_regression": quality_regression,

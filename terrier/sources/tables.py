@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrier.sources import ledger
 from terrier.sources.delimited import path_exists
 
 PARTITION = "dept"
@@ -43,7 +44,16 @@ def read_table(spark: SparkSession, path: str, partition: str = PARTITION) -> Da
 
 
 def read_table_or_none(spark: SparkSession, path: str | None) -> DataFrame | None:
-    return read_table(spark, path) if path and path_exists(spark, path) else None
+    """The table, or None where there is none or it holds no department's rows."""
+    if not path or not path_exists(spark, path) or not any(f.startswith(f"{PARTITION}=") for f in ledger.folders(spark, path)):
+        return None
+    return read_table(spark, path)
+
+
+def datasets(spark: SparkSession, root: str) -> list[str]:
+    """Names of the prepared tables below ``root``: the folders that hold departments, or a record of runs."""
+    found = {name: ledger.folders(spark, f"{root}/{name}") for name in ledger.folders(spark, root)}
+    return [n for n, below in found.items() if any(f.startswith(f"{PARTITION}=") or f == "_coverage" for f in below) and n != "csv"]
 
 
 def produced(tables: dict[str, DataFrame], partition: str = PARTITION) -> DataFrame:
