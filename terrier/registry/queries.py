@@ -23,7 +23,7 @@ from terrier.session import materialize, scratch_path
 from terrier.sources import coverage, delimited, landing
 from terrier.sources.coverage import Scope
 from terrier.sources.tables import manifest_baseline, missing_partitions, read_table
-from terrier.streaming.pages import ingest_pages
+from terrier.streaming.pages import ingest_pages, read_pages
 from terrier.streaming.upsert import stream_upsert
 
 
@@ -656,6 +656,23 @@ def stream_page_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return staged.select("numero_dpe", "numero_dpe_remplace", "etiquette_dpe", "code_departement_ban")
 
 
+def stream_new_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Events landed as JSON pages, some records on a second page, a third landed in a second run: each once."""
+    landed, staging, marks = (scratch_path(spark, label) for label in ("json-pages", "staged-records", "record-marks"))
+    raw = an.diagnostics_raw(spark, sf)
+    number = F.substring("numero_dpe", 2, 20).cast("long")
+
+    def ingest() -> DataFrame:
+        return ingest_pages(read_pages(spark, landed, recursiveFileLookup="true"), staging, marks, once=True)
+
+    raw.write.json(f"{landed}/first")
+    raw.filter(number % 3 == 0).write.json(f"{landed}/again")
+    ingest()
+    raw.filter(number % 2 == 0).write.json(f"{landed}/later")
+    kept = ["numero_dpe", "numero_dpe_remplace", "etiquette_dpe", "code_departement_ban"]
+    return ingest().select(*kept, F.col("score_ban").cast("double").alias("score_ban"))
+
+
 def stream_upsert_query(spark: SparkSession, sf: str) -> DataFrame:
     """Events as versions of one row per user; the last one of each user stays.
 
@@ -744,6 +761,7 @@ REGISTERED = {
     "dataset_marks": dataset_marks,
     "landing_agreement": landing_agreement,
     "stream_page_ingest": stream_page_ingest,
+    "stream_new_records": stream_new_records,
     "stream_upsert": stream_upsert_query,
     "prepare_diagnostics": prepare_diagnostics,
     "prepare_buildings": prepare_buildings,

@@ -28,6 +28,25 @@ def test_pages_are_taken_once(spark, tmp_path):
     assert got == {"D0": "0.5", "D1": "0.5", "D2": "0.5", "D3": "0.5", "D4": None}
 
 
+def test_records_landed_again_are_added_once(spark, tmp_path):
+    landing, staging, marks = tmp_path / "pages", str(tmp_path / "staging"), str(tmp_path / "marks")
+    first = [{"numero_dpe": f"D{i}", "score_ban": 0.5} for i in range(20)] + [{"numero_dpe": ""}, {"score_ban": 1}]
+    page(landing, 0, first + first[:3])
+
+    def run():
+        rows = ingest_pages(read_pages(spark, str(landing)), staging, marks, once=True).collect()
+        return sorted(((r["numero_dpe"], r["score_ban"]) for r in rows), key=repr)
+
+    want = [(f"D{i}", "0.5") for i in range(20)] + [("", None), (None, "1")]
+    assert run() == sorted(want, key=repr)
+    page(landing, 1, first[5:])  # the same records under another name, in a later run
+    page(landing, 2, [{"numero_dpe": "D0", "score_ban": 0.25}, {"numero_dpe": None}, {"numero_dpe": None}])
+    want += [("D0", "0.25"), (None, None)]
+    assert run() == sorted(want, key=repr)
+    assert run() == sorted(want, key=repr)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", "none").endswith(("none", "HDFSBackedStateStoreProvider"))
+
+
 SCHEMA = "cle_vente string, dept string, v int"
 
 
