@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,13 +71,27 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where two branches must see the very same rows: unlike a cache it survives the
-    loss of executors, and unlike a checkpointed RDD later reads still prune columns.
+    loss of executors, and unlike a checkpointed RDD later reads still prune columns. ``release``
+    drops the shuffle files of the write when it ends, which nothing needs once the rows are on disk.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with released_shuffles(spark) if release else nullcontext():
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside the block leave no shuffle files behind."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
