@@ -20,7 +20,7 @@ from terrier.plans import export
 from terrier.plans.prepare import covered_pairs, effective_lines, sales_from_lines, selected
 from terrier.registry import analogues as an
 from terrier.session import materialize, scratch_path
-from terrier.sources import coverage, delimited, landing
+from terrier.sources import blocks, coverage, delimited, landing
 from terrier.sources.coverage import Scope
 from terrier.sources.tables import manifest_baseline, missing_partitions, read_table
 from terrier.streaming.pages import ingest_pages, read_pages
@@ -638,10 +638,50 @@ def dataset_marks(spark: SparkSession, sf: str) -> DataFrame:
     return changes.dataset_marks(parsed)
 
 
+#: Small enough for the landed copies below to have many blocks.
+LANDED_BLOCK = 4096
+
+
+def landed_copies(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Two landings of the orders as text, a file per priority and year; the second holds other lines in places.
+
+    The second lacks one priority's files of one year, and has the price of some orders changed by a digit.
+    """
+    order, priority = an.table(spark, sf, "orders"), F.substring("o_orderpriority", 1, 1)
+    whole = F.format_string("%d;%s;%.2f", "o_orderkey", F.col("o_orderdate").cast("date").cast("string"), "o_totalprice")
+    altered = F.when((F.col("o_orderkey") % 1999 == 7) & (priority != "2"), F.concat(F.substring(whole, 1, F.length(whole) - 1), F.lit("#")))
+    name = [priority.alias("priority"), F.year("o_orderdate").alias("year")]
+    roots = []
+    for line, kept in ((whole, F.lit(True)), (F.coalesce(altered, whole), ~((priority == "3") & (F.year("o_orderdate") == 1995)))):
+        path = scratch_path(spark, "landed-orders")
+        rows = order.filter(kept).select("o_orderkey", line.alias("value"), *name)
+        # One task writes the whole of a file, in the order of the keys.
+        sorted_rows = rows.repartition("priority", "year").sortWithinPartitions("priority", "year", "o_orderkey")
+        sorted_rows.select("value", "priority", "year").write.partitionBy("priority", "year").text(path)
+        roots.append(path)
+    return roots[0], roots[1]
+
+
+def _file(path: Column) -> Column:
+    """Spark gives each file a name of its own; the folder is what tells the file."""
+    return F.regexp_extract(path, "(priority=.*)/[^/]+$", 1)
+
+
 def landing_agreement(spark: SparkSession, sf: str) -> DataFrame:
-    """Two reads of the driver files, compared byte for byte by their fingerprints."""
-    first, second = (landing.fingerprints(spark, sf, "*.parquet") for _ in range(2))
-    return landing.agreement(first, second, sf, sf).select("file", "agreed")
+    """Two landings compared byte for byte: whether each file agrees, and the blocks in which it doesn't."""
+    roots = landed_copies(spark, sf)
+    prints = [landing.fingerprints(spark, r).withColumn("path", _file(F.col("path"))) for r in roots]
+    cut = [blocks.block_digests(spark, r, block_bytes=LANDED_BLOCK).withColumn("path", _file(F.col("path"))) for r in roots]
+    agreed = landing.agreement(*prints, "", "").select("file", "agreed")
+    return agreed.join(blocks.landing_differences(*cut, "", ""), "file")
+
+
+def landed_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Digest of each landed file as a whole, and the root of its digest tree."""
+    root, _ = landed_copies(spark, sf)
+    whole = landing.fingerprints(spark, root)
+    trees = blocks.digest_trees(blocks.block_digests(spark, root, block_bytes=LANDED_BLOCK)).select("path", "blocks", "root")
+    return whole.join(trees, "path").select(_file(F.col("path")).alias("file"), "length", "sha256", "blocks", "root")
 
 
 # Streaming
@@ -760,6 +800,7 @@ REGISTERED = {
     "source_change_diff": source_change_diff,
     "dataset_marks": dataset_marks,
     "landing_agreement": landing_agreement,
+    "landed_fingerprints": landed_fingerprints,
     "stream_page_ingest": stream_page_ingest,
     "stream_new_records": stream_new_records,
     "stream_upsert": stream_upsert_query,

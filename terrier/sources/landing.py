@@ -20,9 +20,6 @@ from pyspark.sql import functions as F
 HEAD_BYTES = 64 * 1024
 SEPARATORS = [";", ",", "\t", "|"]
 
-# Above this size a file is hashed block by block in a task instead of as one cell.
-INLINE_HASH_BYTES = 256 * 1024 * 1024
-
 
 def _reader(spark: SparkSession, pattern: str | None):
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -47,18 +44,29 @@ def _plain(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "file:/")
 
 
-def _open(path: str):
-    """An input stream on any file system Arrow knows, given a path as Spark prints it."""
+def _locate(path: str):
+    """The file system Arrow knows a path by, as Spark prints it, and the path there."""
     from pyarrow import fs
 
     path = unquote(path)
     if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_stream("/" + path[5:].lstrip("/"), compression=None)
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
     # Arrow knows the store under its plain name only.
-    system, inner = fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
+    return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
+
+
+def _open(path: str):
+    """An input stream."""
+    system, inner = _locate(path)
     return system.open_input_stream(inner, compression=None)
 
 
+def open_file(path: str):
+    """An input file that reads from any place."""
+    system, inner = _locate(path)
+    return system.open_input_file(inner)
+
+
 def _head(path: str, size: int) -> bytes:
     with _open(path) as stream:
         raw = stream.read(size)
@@ -134,18 +142,12 @@ def file_health(spark: SparkSession, paths: str | list[str], pattern: str | None
 def fingerprints(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:
     """path, length and sha256 of every file.
 
-    Files of ordinary size are hashed by the built-in function; the length predicate is pushed
-    into the source, so a larger file is never loaded as one cell. Those are hashed block by
-    block, one file after the other within a task, in constant memory.
+    Every file is hashed piece by piece in constant memory, whatever its size; the digest of a whole file has to be
+    computed in order, so one file is one task's work. :mod:`terrier.sources.blocks` hashes the parts of a file apart.
     """
     import hashlib
 
-    files = _reader(spark, pattern).load(paths)
-    inline = files.filter(F.col("length") <= INLINE_HASH_BYTES).select(
-        "path", "length", F.sha2("content", 256).alias("sha256")
-    )
-
-    def hash_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             digests = []
             for path in batch["path"]:
@@ -156,12 +158,12 @@ def fingerprints(spark: SparkSession, paths: str | list[str], pattern: str | Non
                 digests.append(digest.hexdigest())
             yield batch.assign(sha256=digests)
 
-    streamed = (
-        files.filter(F.col("length") > INLINE_HASH_BYTES)
-        .select("path", "length")
-        .mapInPandas(hash_blocks, "path string, length long, sha256 string")
-    )
-    return inline.unionByName(streamed)
+    return list_files(spark, paths, pattern).mapInPandas(hash_files, "path string, length long, sha256 string")
+
+
+def below(path: Column, root: str) -> Column:
+    """A file's path below a root; without a root, the path as it is."""
+    return path if not root else F.substring_index(path, root.rstrip("/") + "/", -1)
 
 
 def agreement(first: DataFrame, second: DataFrame, first_root: str, second_root: str) -> DataFrame:
@@ -171,9 +173,8 @@ def agreement(first: DataFrame, second: DataFrame, first_root: str, second_root:
     """
 
     def keyed(df: DataFrame, root: str, side: str) -> DataFrame:
-        name = F.substring_index(F.col("path"), root.rstrip("/") + "/", -1)
         return df.select(
-            name.alias("file"), F.col("length").alias(f"length_{side}"), F.col("sha256").alias(f"sha256_{side}")
+            below(F.col("path"), root).alias("file"), F.col("length").alias(f"length_{side}"), F.col("sha256").alias(f"sha256_{side}")
         )
 
     both = keyed(first, first_root, "first").join(keyed(second, second_root, "second"), "file", "full_outer")

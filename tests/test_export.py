@@ -92,11 +92,10 @@ def test_csv_export(spark, tmp_path):
     assert back["t"] == 'a,"b"' and back["n"] is None
 
 
-def test_fingerprints_inline_and_streamed(spark, tmp_path, monkeypatch):
+def test_fingerprints(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for name, size in (("small file.bin", 100), ("large.bin", 5000)):
         (tmp_path / "in" / name).write_bytes(bytes(i % 251 for i in range(size)))
-    monkeypatch.setattr(landing, "INLINE_HASH_BYTES", 1000)
     got = {Path(r["path"].replace("%20", " ")).name: r for r in landing.fingerprints(spark, str(tmp_path / "in")).collect()}
     for name, row in got.items():
         data = (tmp_path / "in" / name).read_bytes()
