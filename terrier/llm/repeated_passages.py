@@ -6,8 +6,8 @@ have at the same place. Strings with one anchor are neighbours, and so are found
 
 1. Each text is cut into units at places its content selects. Of units with equal bytes the earliest
    stays; what starts in the others is repeated, without further ado. Hot copies melt in this aggregate.
-2. The anchors of the units that stayed are counted. Around those found more than once, bytes are
-   cut out of the texts, and shuffled by anchor, frequent anchors in blocks.
+2. The anchors of the units that stayed are sorted by range, where repeated ones are neighbours and frequent ones
+   fall into blocks. Around repeated anchors bytes are cut out of the texts, and shuffled by anchor and block.
 3. A block's suffixes from their anchors on, and the bytes before the anchors read backwards, are sorted
    by :mod:`deep_shallow`. Two strings are equal if their halves share enough bytes, so the lengths that
    neighbours in both orders share tell all classes of equal strings; the earliest of each stays.
@@ -22,7 +22,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrier.llm import deep_shallow
@@ -140,13 +141,58 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _repeated_anchors(block_members: int):
+    """Of rows sorted by anchor those that share theirs, in blocks of one anchor.
+
+    ``split`` marks anchors with several blocks. A partition's first and last anchor may have rows in the
+    next partition, so theirs always stay, and count as split. A batch and a block are held at most.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first_block = TaskContext.get().partitionId() << 32
+
+        def marked(rows: pa.Table, begin: np.ndarray, before: int, edge: bool) -> Iterator[pa.RecordBatch]:
+            """Rows of the anchors that begin at ``begin``, the first of which had ``before`` rows already."""
+            size = np.diff(np.append(begin, len(rows)))
+            split = size > block_members
+            split[0] |= edge or before > 0
+            rank = np.arange(len(rows)) - np.repeat(begin, size)
+            rank[: size[0]] += before
+            stays = np.repeat(split | (size > 1), size)
+            block = pa.array((first_block + rank // block_members)[stays])
+            kept = rows.filter(pa.array(stays)).append_column("block", block)
+            yield from kept.append_column("split", pa.array(np.repeat(split, size)[stays])).to_batches()
+
+        held, anchor, given, edge = None, None, 0, True  # rows of the last anchor, and how many of it were given on
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held is not None else rows
+            anchors = rows.column("anchor").to_numpy()
+            if not len(anchors):
+                continue
+            given = given if anchors[0] == anchor else 0
+            begin = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1])))
+            last = int(begin[-1])
+            if last:
+                yield from marked(rows.slice(0, last), begin[:-1], given, edge)
+                given, edge = 0, False
+            held, anchor = rows.slice(last), anchors[-1]
+            if given + len(held) > block_members:
+                yield from marked(held, begin[:1], given, True)
+                held, given = None, given + len(held)
+        if held is not None:
+            yield from marked(held, np.zeros(1, dtype=np.int64), given, True)
+
+    return run
+
+
 def _mixed(first: np.ndarray, anchor: np.ndarray) -> np.ndarray:
     x = (first.astype(np.uint64) * _A) ^ anchor.astype(np.uint64)
     return (x ^ (x >> np.uint64(31))) * _B
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around each wanted anchor, with the number of its occurrences."""
+    """The bytes around each wanted anchor, with its block."""
     for batch in batches:
         texts = [t or b"" for t in as_bytes(batch.column("text"))]
         asked = batch.column("wanted")
@@ -157,7 +203,8 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = _mixed(found.first[unit], found.hash.view(np.int64)) ^ _mixed(found.text, found.text)
             low, high = int(offsets[found.text[0]]), int(offsets[found.text[-1] + 1])
             text = np.repeat(np.arange(len(texts)), np.diff(offsets))[low - offsets[0] : high - offsets[0]]
-            wanted = [fields.field(name).to_numpy()[low:high] for name in ("first", "anchor", "times")]
+            wanted = [fields.field(name).to_numpy()[low:high] for name in ("first", "anchor", "block")]
+            split = fields.field("split").to_numpy(zero_copy_only=False)[low:high]
             sought = _mixed(wanted[0], wanted[1]) ^ _mixed(text, text)
             if not len(sought):
                 continue
@@ -169,13 +216,14 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.array(found.hash[rows].view(np.int64)),
                     pa.array(wanted[2][at[rows]]),
+                    pa.array(split[at[rows]]),
                     batch.column("doc_id").take(owner),
                     batch.column("mark").take(owner),
                     pa.array(found.first[rows]),
                     pa.array((found.place - found.first)[rows]),
                     pa.array(found.bytes_at(rows), pa.binary()),
                 ],
-                ["anchor", "times", "doc_id", "mark", "first", "lead", "bytes"],
+                ["anchor", "block", "split", "doc_id", "mark", "first", "lead", "bytes"],
             )
 
 
@@ -253,8 +301,8 @@ def _sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     members, block, kinds, group = _Members(), None, None, 0
     for batch in batches:
         kinds = [batch.schema.field(c).type for c in ("doc_id", "mark")]
-        names = ("anchor", "block", "blocks", "doc_id", "mark", "first", "lead", "bytes")
-        for anchor, part, parts, doc_id, mark, first, lead, data in zip(*(batch.column(c).to_pylist() for c in names)):
+        names = ("anchor", "block", "split", "doc_id", "mark", "first", "lead", "bytes")
+        for anchor, part, split, doc_id, mark, first, lead, data in zip(*(batch.column(c).to_pylist() for c in names)):
             key = (doc_id, mark, first)
             if (anchor, part) != block:
                 if len(members.data) >= BATCH_MEMBERS:
@@ -264,7 +312,7 @@ def _sort_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             elif members.key and members.key[-1] == key and members.lead[-1] == lead:
                 continue  # a repeated row
             members.group.append(group)
-            members.split.append(parts > 1)
+            members.split.append(split)
             members.key.append(key)
             members.lead.append(lead)
             members.data.append(data)
@@ -310,6 +358,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield given(ids, sizes, removed, kept, batch)
 
 
+def _owner() -> Column:
+    """Documents as a key; a null id equals itself inside a struct."""
+    return F.struct("doc_id", "mark").alias("owner")
+
+
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_members: int = BLOCK_MEMBERS) -> DataFrame:
     """``doc_id, n_bytes, removed, kept`` of each row: the spans removed and the bytes left.
 
@@ -324,33 +377,34 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     owner = f"doc_id {kind}, mark long"
     units = source.mapInArrow(_units, f"digest binary, {owner}, first long, count long, anchors array<long>")
     earliest = F.min(F.struct("doc_id", "mark", "first", "count", "anchors")).alias("unit")
-    stay = materialize(units.groupBy("digest").agg(earliest).select("unit.*"), "first-units")
+    stay = materialize(units.groupBy("digest").agg(earliest).select("unit.*"), "first-units", release=True)
 
     anchors = stay.select("doc_id", "mark", "first", F.explode("anchors").alias("anchor"))
-    times = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    wanted = anchors.join(times, "anchor").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("first", "anchor", "times")).alias("wanted"))
-    cut = _with(source, wanted, "inner").mapInArrow(_segments, f"anchor long, times long, {owner}, first long, lead long, bytes binary")
-    blocks = F.ceil(F.col("times") / block_members)
-    cut = cut.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id", "mark", "first"), "blocks"))
+    place = ["anchor", "doc_id", "mark", "first"]
+    sorted_anchors = anchors.select(*place).repartitionByRange(*place).sortWithinPartitions(*place)
+    again = sorted_anchors.mapInArrow(_repeated_anchors(block_members), f"anchor long, {owner}, first long, block long, split boolean")
+    listed = F.collect_list(F.struct("first", "anchor", "block", "split")).alias("wanted")
+    wanted = materialize(again.groupBy(_owner()).agg(listed), "repeated-anchors", release=True)
+    cut = _with(source, wanted, "inner").mapInArrow(
+        _segments, f"anchor long, block long, split boolean, {owner}, first long, lead long, bytes binary"
+    )
     in_order = cut.repartition("anchor", "block").sortWithinPartitions("anchor", "block", "doc_id", "mark", "first")
-    starts = materialize(in_order.mapInArrow(_sort_blocks, f"{owner}, first long, last long, digest binary"), "repeated-starts")
+    starts = materialize(in_order.mapInArrow(_sort_blocks, f"{owner}, first long, last long, digest binary"), "repeated-starts", release=True)
 
     # A class has one string per block at most here.
     nth = F.row_number().over(Window.partitionBy("digest").orderBy("doc_id", "mark", "first"))
     met = starts.where("digest IS NOT NULL").withColumn("nth", nth).where("nth > 1")
-    again = starts.where("digest IS NULL").unionByName(met.drop("nth")).select("doc_id", "mark", "first", "last", F.lit(False).alias("stays"))
+    more = starts.where("digest IS NULL").unionByName(met.drop("nth")).select("doc_id", "mark", "first", "last", F.lit(False).alias("stays"))
     first = stay.select("doc_id", "mark", "first", (F.col("first") + F.col("count")).alias("last"), F.lit(True).alias("stays"))
-    ranges = first.unionByName(again).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("first", "last", "stays")).alias("ranges"))
+    ranges = first.unionByName(more).groupBy(_owner()).agg(F.collect_list(F.struct("first", "last", "stays")).alias("ranges"))
     return _with(source, ranges, "left").mapInArrow(
         _cut, f"doc_id {kind}, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
     )
 
 
 def _with(source: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """The texts with the list that belongs to each; ids may be null."""
-    owner = lists.toDF("_doc_id", "_mark", lists.columns[2])
-    same = source["doc_id"].eqNullSafe(owner["_doc_id"]) & (source["mark"] == owner["_mark"])
-    return source.join(owner, same, how).drop("_doc_id", "_mark")
+    """The texts with the list that belongs to each."""
+    return source.withColumn("owner", _owner()).join(lists, "owner", how).drop("owner")
 
 
 def passage_report(removed: DataFrame) -> DataFrame:
