@@ -60,23 +60,25 @@ def drop_boilerplate_lines(
             F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("boilerplate_salt"),
         )
     )
-    rest = docs.select(*[c for c in docs.columns if c not in ("lines_before", "lines_dropped")])
-    salt = F.pmod(F.xxhash64(rest[id_col], rest[text_col]), F.lit(SALTS)).cast("int")
-    at_site = rest[site_col].eqNullSafe(per_site["boilerplate_site"]) & (salt == per_site["boilerplate_salt"])
-    joined = rest.join(per_site, at_site, "left")
-    split = F.split(rest[text_col], "\n")
+    # Packed in one column, the rows can't clash with the names below, whatever theirs are.
+    columns = [c for c in docs.columns if c not in ("lines_before", "lines_dropped")]
+    rows = docs.select(F.struct(*columns).alias("row"))
+    row = {c: F.col("row")[c] for c in columns}
+    salt = F.pmod(F.xxhash64(row[id_col], row[text_col]), F.lit(SALTS)).cast("int")
+    at_site = row[site_col].eqNullSafe(F.col("boilerplate_site")) & (salt == F.col("boilerplate_salt"))
+    joined = rows.join(per_site, at_site, "left")
+    split = F.split(row[text_col], "\n")
     hashes = F.transform(split, lambda line: F.xxhash64(_bare(line)))
-    held = joined.select(*[rest[c] for c in rest.columns], split.alias("boilerplate_lines"), F.array_intersect(hashes, "boilerplate").alias("boilerplate_here"))
-    kept = F.filter("boilerplate_lines", lambda line: ~F.array_contains(F.col("boilerplate_here"), F.xxhash64(_bare(line))))
-    touched = F.size("boilerplate_here") > 0
-    edited = F.when(touched, F.array_join(kept, "\n")).otherwise(F.col(text_col))
-    count = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size("boilerplate_lines"))
-    changed = {text_col: edited}
+    held = joined.select("row", split.alias("lines"), F.array_intersect(hashes, "boilerplate").alias("here"))
+    kept = F.filter("lines", lambda line: ~F.array_contains(F.col("here"), F.xxhash64(_bare(line))))
+    touched = F.size("here") > 0
+    edited = F.when(touched, F.array_join(kept, "\n")).otherwise(row[text_col])
+    count = F.when(row[text_col].isNull(), F.lit(0)).otherwise(F.size("lines"))
+    dropped = F.when(touched, F.size("lines") - F.size(kept)).otherwise(F.lit(0))
+    new = {text_col: edited.alias("text"), "lines_before": count.cast("long").alias("before"), "lines_dropped": dropped.cast("long").alias("dropped")}
     if length_col:
-        in_step = F.when(touched, F.length(edited)).otherwise(F.col(length_col)).cast(rest.schema[length_col].dataType)
-        changed[length_col] = in_step
-    return held.select(
-        *[changed.get(c, F.col(c)).alias(c) for c in rest.columns],
-        count.cast("long").alias("lines_before"),
-        F.when(touched, F.size("boilerplate_lines") - F.size(kept)).otherwise(F.lit(0)).cast("long").alias("lines_dropped"),
-    )
+        in_step = F.when(touched, F.length(edited)).otherwise(row[length_col])
+        new[length_col] = in_step.cast(docs.schema[length_col].dataType).alias("length")
+    done = held.select("row", F.struct(*new.values()).alias("new"))
+    name = {text_col: "text", "lines_before": "before", "lines_dropped": "dropped", length_col: "length"}
+    return done.select(*[(F.col("new")[name[c]] if c in new else row[c]).alias(c) for c in [*columns, "lines_before", "lines_dropped"]])

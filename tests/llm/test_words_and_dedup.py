@@ -148,6 +148,15 @@ def test_lines_equal_brute_force(spark):
     assert line_dedup.drop_boilerplate_lines(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_lines_beside_clashing_columns(spark):
+    names = ["boilerplate", "boilerplate_lines", "boilerplate_site", "boilerplate_here", "row", "lines", "here", "site", "pages", "total"]
+    rows = [(i, f"menu\nown {i}", "s") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", *[f"doc_id AS {n}" for n in names])
+    got = line_dedup.drop_boilerplate_lines(docs).collect()
+    assert {(r["doc_id"], r["text"], r["lines_dropped"]) for r in got} == {(i, f"own {i}", 1) for i in range(5)}
+    assert all(r[n] == r["doc_id"] for r in got for n in names)
+
+
 LONG_WORD = "https://example.org/" + "q0" * 40
 
 
