@@ -2,13 +2,17 @@
 
 A window is 13 consecutive words of a benchmark item; an item with fewer words is one window. The
 scan has two steps. Any occurrence of a window covers a run of a few words that starts at a multiple
-of a fixed stride in the document, so only those runs are hashed and looked up in the broadcast hash
-set of all such runs of the benchmark. Documents that pass are then cut into windows, which are
-compared with the benchmark's as text.
+of a stride in the document, so only those runs are hashed and looked up in the broadcast hash
+set of all such runs of the benchmark. Each length of windows has its own stride, so a short item makes
+nobody look at more runs on behalf of the long ones. Documents that pass are then cut into windows of the lengths
+they passed for, which are compared with the benchmark's as text. A hash set too large to be broadcast at once
+is broadcast part by part.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +21,7 @@ from terrier.session import materialize
 WINDOW = 13
 #: Words in the runs of the first step.
 RUN = 4
-#: A benchmark with no more windows is broadcast (about 100 bytes each); a larger one is joined by shuffle.
+#: Windows broadcast at once (about 100 bytes each).
 BROADCAST_WINDOWS = 200_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -80,39 +84,42 @@ def contamination(
     """
     source = docs.select(*_key(id_col, text_col), F.col(text_col).alias("text"))
     windows = materialize(benchmark_windows(benchmark, item_id_col, item_text_col), "benchmark-windows")
-    found = windows.agg(F.count("*"), F.coalesce(F.min("length"), F.lit(WINDOW)), F.sort_array(F.collect_set("length"))).first()
-    n_windows, shortest, lengths = found
-    run = min(RUN, shortest)
-    small = (lambda df: F.broadcast(df)) if n_windows <= BROADCAST_WINDOWS else (lambda df: df)
+    n_windows, lengths = windows.agg(F.count("*"), F.sort_array(F.collect_set("length"))).first()
+    parts = max(1, -(-n_windows // BROADCAST_WINDOWS))
+
+    def looked_up(rows: DataFrame, hash_set: DataFrame, on: list[str]) -> DataFrame:
+        """``rows`` beside what the hash set holds for them, which is broadcast in parts."""
+        part = F.pmod(F.xxhash64(*on), F.lit(parts))
+        return reduce(DataFrame.unionByName, [rows.join(F.broadcast(hash_set.where(part == n)), on) for n in range(parts)])
+
+    def run_hash(length: int | Column):
+        return lambda words: F.xxhash64(length if isinstance(length, Column) else F.lit(length), words)
 
     tokens = source.select("doc_id", "h1", "h2", word_list(F.col("text")).alias("words"))
+    strided = [_runs("words", min(RUN, n), n - min(RUN, n) + 1, run_hash(n)) for n in lengths]
+    runs = F.concat(F.array().cast("array<bigint>"), *strided)
     scanned = materialize(
-        tokens.select(
-            "doc_id", "h1", "h2", F.size("words").cast("long").alias("n_words"), _runs("words", run, shortest - run + 1, F.xxhash64).alias("runs")
-        ),
-        "scanned-runs",
+        tokens.select("doc_id", "h1", "h2", F.size("words").cast("long").alias("n_words"), runs.alias("runs")), "scanned-runs"
     )
     of_benchmark = (
-        windows.select(F.split("win", " ").alias("words"))
-        .select(F.explode(_runs("words", run, 1, F.xxhash64)).alias("run"))
+        windows.select("length", F.split("win", " ").alias("words"))
+        .select("length", F.explode(_runs("words", F.least(F.lit(RUN), F.col("length")), 1, run_hash(F.col("length")))).alias("run"))
         .distinct()
     )
-    looked_up = scanned.select("doc_id", "h1", "h2", F.explode("runs").alias("run")).join(small(of_benchmark), "run", "left_semi")
-    suspects = looked_up.select(
-        F.col("doc_id").alias("s_id"), F.col("h1").alias("s1"), F.col("h2").alias("s2")
-    ).distinct()
+    suspects = (
+        looked_up(scanned.select("doc_id", "h1", "h2", F.explode("runs").alias("run")), of_benchmark, ["run"])
+        .groupBy(F.col("doc_id").alias("s_id"), F.col("h1").alias("s1"), F.col("h2").alias("s2"))
+        .agg(F.collect_set("length").alias("lengths"))
+    )
     held = source.join(
         suspects,
         F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("h1") == F.col("s1")) & (F.col("h2") == F.col("s2")),
-        "left_semi",
-    ).select("doc_id", "h1", "h2", word_list(F.col("text")).alias("words"))
+    ).select("doc_id", "h1", "h2", "lengths", word_list(F.col("text")).alias("words"))
 
     none = F.array().cast("array<struct<win:string,start:int,length:int>>")
-    cut = F.concat(none, *[_numbered_windows(length) for length in lengths])
-    pieces = held.select("doc_id", "h1", "h2", F.size("words").alias("n"), F.explode(cut).alias("piece")).select(
-        "doc_id", "h1", "h2", "piece.*"
-    )
-    verified = pieces.join(small(windows), ["win", "length"])
+    asked = [F.when(F.array_contains("lengths", n), _numbered_windows(n)).otherwise(none) for n in lengths]
+    pieces = held.select("doc_id", "h1", "h2", F.explode(F.concat(none, *asked)).alias("piece")).select("doc_id", "h1", "h2", "piece.*")
+    verified = looked_up(pieces, windows, ["win", "length"])
     reach = F.struct(F.col("start").alias("start"), (F.col("start") + F.col("length")).alias("end"))
     hits = verified.groupBy("doc_id", "h1", "h2").agg(
         F.sort_array(F.collect_set(reach)).alias("spans"),
@@ -170,7 +177,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ).dropDuplicates(["found_id", "found_h1", "found_h2"])
     joined = _beside(docs, keys, id_col, text_col, "left")
     pieces = F.regexp_extract_all(docs[text_col], F.lit(_WORD_WITH_BREAK), F.lit(0))
-    kept = F.filter(pieces, lambda _, i: ~F.exists("found_spans", lambda s: (i >= s["start"]) & (i < s["end"])))
+    spans = keys["found_spans"]
+    kept = F.filter(pieces, lambda _, i: ~F.exists(spans, lambda s: (i >= s["start"]) & (i < s["end"])))
     tail = F.substring(docs[text_col], F.length(F.array_join(pieces, "")) + 1, F.length(docs[text_col]))
-    edited = F.when(F.col("found_spans").isNull(), docs[text_col]).otherwise(F.concat(F.array_join(kept, ""), tail))
+    edited = F.when(spans.isNull(), docs[text_col]).otherwise(F.concat(F.array_join(kept, ""), tail))
     return joined.select(*[edited.alias(c) if c == text_col else docs[c] for c in docs.columns])

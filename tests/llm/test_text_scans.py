@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from terrier.llm import decontaminate, personal_data, secrets
 
 DOCS = "doc_id long, text string, kind string, value string"
@@ -157,13 +159,15 @@ def plain_windows(docs, items):
     return result
 
 
-def test_windows_equal_brute_force(spark):
+@pytest.mark.parametrize("at_once", [decontaminate.BROADCAST_WINDOWS, 40])
+def test_windows_equal_brute_force(spark, monkeypatch, at_once):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", at_once)
     for short in (False, True):
         rng = random.Random(7 + short)
         vocabulary = ["the", "of", "Ünder", "a1"] + [f"w{i}" for i in range(60)]
         draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
         items = [(i, draw(rng.randrange(13, 40))) for i in range(20)] + [(20, draw(13)), (21, [])]
-        items += [(22, draw(2)), (23, draw(5)), (24, draw(5))] if short else []
+        items += [(22, draw(2)), (23, draw(5)), (24, draw(5)), (25, ["w7"]), (26, draw(4)), (27, draw(12))] if short else []
         docs = []
         for i in range(200):
             w = draw(rng.randrange(0, 60))
@@ -182,6 +186,16 @@ def test_windows_equal_brute_force(spark):
             assert (r["n_words"], r["n_hit"], r["items"]) == want[r["doc_id"]], (short, r["doc_id"])
 
 
+def test_clashing_columns(spark):
+    passage = " ".join(f"q{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, passage, "x")], "item_id long, text string, win string")
+    names = ["found_spans", "found_id", "found_h1", "h1", "h2", "words", "runs", "win", "length", "items"]
+    docs = frame(spark, [(1, f"a {passage} b"), (2, "clean")]).selectExpr("*", *[f"'kept' AS {n}" for n in names])
+    edited = decontaminate.remove_spans(docs, bench).collect()
+    assert {r["doc_id"]: (r["text"], r["found_spans"], r["win"]) for r in edited} == {1: ("a b", "kept", "kept"), 2: ("clean", "kept", "kept")}
+    assert [r["doc_id"] for r in decontaminate.remove_documents(docs, bench).collect()] == [2]
+
+
 def test_contaminated_documents_and_spans_go(spark):
     passage = " ".join(f"q{i}" for i in range(20))
     bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
