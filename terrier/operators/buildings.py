@@ -121,11 +121,16 @@ def parcels_won(tables: dict[str, DataFrame], departments: list[str] | None = No
     return arbitrate_parcels(tables["parcelle"], dwellings)
 
 
-def attach_parcels(buildings: DataFrame, won: DataFrame | None) -> DataFrame:
-    """Adds the parcels a building won: one row each, or one row with NULL."""
+def attach_parcels(buildings: DataFrame, won: DataFrame | None, ids: DataFrame | None = None) -> DataFrame:
+    """Adds the parcels a building won: one row each, or one row with NULL.
+
+    Which building has which parcels is settled on ids alone (``ids``, where they come from a cheaper
+    place than ``buildings``); the wide rows are then computed and joined once.
+    """
     if won is None:
         return buildings.select("*", *_absent(parcelle_id="string"))
-    return left_join_many(buildings, won, ID)
+    pairs = left_join_many((buildings if ids is None else ids).select(ID).distinct(), won, ID)
+    return buildings.join(pairs, ID, "inner")
 
 
 def prepare_building_rows(
@@ -135,4 +140,7 @@ def prepare_building_rows(
     placed = add_footprints(star(tables, departments), "_footprint", "code_departement", srid=srid)
     # Read by both sides of the attachment: arbitrated once.
     won = materialize(parcels_won(tables, departments), "parcels-won") if "parcelle" in tables else None
-    return attach_parcels(placed, won).select(*BUILDING_OUTPUT)
+    groups = tables["groupe"]
+    if departments:
+        groups = groups.filter(F.col("code_departement_insee").isin(*departments))
+    return attach_parcels(placed, won, groups).select(*BUILDING_OUTPUT)

@@ -23,9 +23,8 @@ from terrier.operators.sales import add_price_flag, add_sale_key, collapse, mark
 from terrier.operators.sources import prefer_later_sources, sale_match_key
 from terrier.plans import export
 from terrier.session import materialize, scratch_scope
-from terrier.sources import coverage, delimited
+from terrier.sources import coverage, delimited, ledger
 from terrier.sources.coverage import Scope
-from terrier.sources.delimited import path_exists
 from terrier.sources.tables import PARTITION, datasets, manifest_baseline, read_table, read_table_or_none
 
 
@@ -192,11 +191,16 @@ def prepare_joint(
 
 
 def refresh_marks(spark: SparkSession, seen: DataFrame, path: str) -> DataFrame:
-    """Compares version marks with those kept at ``path``, keeps the newer ones there, and returns the changes."""
-    known = spark.read.schema(seen.schema).parquet(path) if path_exists(spark, path) else seen.limit(0)
+    """Compares version marks with those kept at ``path``, keeps the newer ones there, and returns the changes.
+
+    The marks kept are the newest checkpoint of a log: they are written beside the former ones, which go when
+    the new ones are there.
+    """
+    last, _ = ledger.state(spark, path)
+    known = ledger.read(spark, path, seen.schema, last, [])
     changed = materialize(changed_sources(seen, known), "changed-sources")
-    # The table at ``path`` is read by the very frame that replaces it.
-    materialize(remember(seen, known), "kept-marks").write.mode("overwrite").parquet(path)
+    ledger.write(remember(seen, known), path, 1 if last is None else last + 1, ledger.CHECKPOINT)
+    ledger.trim(spark, path)
     return changed
 
 

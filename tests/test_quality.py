@@ -154,3 +154,24 @@ def test_marks_are_kept_between_runs(spark, tmp_path):
     for etag, changed in (("a", True), ("a", False), ("b", True)):
         seen = spark.createDataFrame([("s", etag, None, None)], MARKS)
         assert {r["source"]: r["changed"] for r in refresh_marks(spark, seen, path).collect()} == {"s": changed}
+
+
+def test_marks_survive_a_run_that_dies(spark, tmp_path, monkeypatch):
+    from terrier.plans.prepare import refresh_marks
+    from terrier.sources import ledger
+
+    path = str(tmp_path / "marks")
+    marks = lambda etag: spark.createDataFrame([("s", etag, None, None)], MARKS)
+    refresh_marks(spark, marks("a"), path)
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    for step in ("write", "trim"):
+        with monkeypatch.context() as patch:
+            patch.setattr(ledger, step, die)
+            with pytest.raises(RuntimeError, match="killed"):
+                refresh_marks(spark, marks("b"), path)
+        # Written or not, the marks are there: the former ones, or the new ones with the former not yet removed.
+        changed = {r["changed"] for r in refresh_marks(spark, marks("b"), path).collect()}
+        assert changed == ({True} if step == "write" else {False})
