@@ -118,6 +118,30 @@ def diagnostics_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+# A place inside each territory, in its own system.
+ORIGINS = {
+    "33": (415022, 6422103),
+    "2A": (1180000, 6100000),
+    "971": (653431, 1774592),
+    "972": (712000, 1612000),
+    "973": (352000, 540000),
+    "974": (337000, 7650000),
+    "975": (557000, 5180000),
+    "976": (514000, 8581000),
+    "977": (516000, 1977000),
+    "978": (491000, 1996000),
+    "988": (400000, 300000),
+}
+
+
+def points_everywhere(spark: SparkSession, sf: str) -> DataFrame:
+    """events as points spread from the origins of all territories."""
+    n = F.col("event_id")
+    origin = F.get(F.array(*[F.struct(F.lit(d).alias("dept"), F.lit(x).alias("x"), F.lit(y).alias("y")) for d, (x, y) in ORIGINS.items()]), (n % 11).cast("int"))
+    x, y = (origin["x"] + n % 1000 * 10).cast("double"), (origin["y"] + n % 900 * 10).cast("double")
+    return table(spark, sf, "events").select("event_id", origin["dept"].alias("dept"), x.alias("x"), y.alias("y"))
+
+
 def building_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """supplier as buildings, lineitem as their links to parcels."""
     s = table(spark, sf, "supplier")

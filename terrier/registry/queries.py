@@ -227,6 +227,12 @@ def reproject_points(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(placed.select("numero_dpe", "code_departement", "longitude", "latitude"), longitude=6, latitude=6)
 
 
+def reproject_all_systems(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as points of every territory with a system of its own, and of two that share one."""
+    placed = add_lon_lat(an.points_everywhere(spark, sf), "dept", "x", "y")
+    return rounded(placed.select("event_id", "dept", "longitude", "latitude"), longitude=6, latitude=6)
+
+
 def reproject_footprints(spark: SparkSession, sf: str) -> DataFrame:
     groups = an.building_tables(spark, sf)["groupe"].withColumnRenamed("code_departement_insee", "dept")
     encoded = add_footprints(groups, "geom_groupe", "dept")
@@ -759,6 +765,7 @@ REGISTERED = {
     "price_quality_flag": price_quality_flag,
     "position_quality_flag": position_quality_flag,
     "reproject_points": reproject_points,
+    "reproject_all_systems": reproject_all_systems,
     "reproject_footprints": reproject_footprints,
     "optional_enrichment": optional_enrichment,
     "building_star_join": building_star_join,
