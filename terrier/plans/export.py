@@ -45,12 +45,42 @@ LICENCE = "Licence Ouverte 2.0 (Etalab)"
 # Rows are laid out by these columns inside each file, for row-group skipping.
 SORT_ORDER = [["date_mutation", "cle_vente"], ["date_dpe", "numero_dpe"], ["batiment_groupe_id"]]
 MAX_ROWS_PER_FILE = 20_000_000
+#: Keys by which single rows are looked up; each row group gets a Bloom filter on them.
+LOOK_UP = ["cle_vente", "numero_dpe"]
+#: Distinct keys a row group's filter is made for, at most: a row group holds fewer of these wide rows.
+LOOK_UP_KEYS = 1_000_000
+#: Bits of a place in each direction of the curve.
+CURVE_BITS = 13
 
 
 def layout_columns(df: DataFrame) -> list[str]:
     return next((cols for cols in SORT_ORDER if set(cols) <= set(df.columns)), [])
 
 
+def curve(first: Column, second: Column, bits: int = CURVE_BITS) -> Column:
+    """Place on a space-filling curve: the bits of two whole numbers in turn, so neighbours in either are near."""
+    place = F.lit(0).cast("long")
+    for i in range(bits):
+        for at, number in ((2 * i + 1, first), (2 * i, second)):
+            place = place.bitwiseOR(F.shiftleft(F.shiftright(number.cast("long"), i).bitwiseAND(1), at))
+    return place
+
+
+def layout(df: DataFrame) -> list[Column]:
+    """What a department's rows are sorted by: weeks and communes along a curve where a table has both, then its order.
+
+    A look-up by date as well as one by commune then meets few row groups. Communes count by the last three
+    digits of their code, which their department's communes differ in; rows without a date or a commune come first.
+    """
+    columns = layout_columns(df)
+    if not columns or not columns[0].startswith("date") or "code_commune" not in df.columns:
+        return [F.col(c) for c in columns]
+    week = F.greatest(F.lit(0), F.floor(F.datediff(F.col(columns[0]), F.lit("1970-01-01").cast("date")) / 7) + 1)
+    commune = F.regexp_extract("code_commune", "([0-9]{3})$", 1).try_cast("int") + 1
+    # Twelve years of weeks and a department's communes take up about as many steps each.
+    return [curve(F.coalesce(week, F.lit(0)) % 2**CURVE_BITS, F.coalesce(commune, F.lit(0))), *[F.col(c) for c in columns]]
+
+
 def write_table(df: DataFrame, path: str, dept: str = "code_departement", mode: str = "replace") -> None:
     """One zstd Parquet dataset, partitioned by department.
 
@@ -60,13 +90,22 @@ def write_table(df: DataFrame, path: str, dept: str = "code_departement", mode:
     removes those that ran empty.
     """
     keyed = df.withColumn(PARTITION, F.col(dept)) if dept != PARTITION else df
+    # Computed once a row, not once a comparison.
+    order = {f"_order_{i}": c for i, c in enumerate(layout(df))}
     writer = (
         keyed.hint("rebalance", PARTITION)
-        .sortWithinPartitions(PARTITION, *layout_columns(df))
+        .withColumns(order)
+        .sortWithinPartitions(PARTITION, *order)
+        .drop(*order)
         .write.partitionBy(PARTITION)
         .option("compression", "zstd")
         .option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
     )
+    for key in LOOK_UP:
+        if key in df.columns:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+            writer = writer.option(f"parquet.bloom.filter.expected.ndv#{key}", LOOK_UP_KEYS)
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     if mode == "replace":
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:

@@ -187,3 +187,61 @@ def test_layouts_differ_beyond_any_head(spark, tmp_path):
     (tmp_path / "c.csv.gz").write_bytes(gzip.compress(f"{wide},x\r\n1\n".encode()))
     found = delimited.layouts(spark, [str(tmp_path)])
     assert sorted((header[-2:], len(files)) for header, files in found) == [(",x", 2), (",y", 1)]
+
+
+def groups_met(path, column, value):
+    """Row groups of a table's files, and those whose bounds on a column hold a value."""
+    import pyarrow.parquet as pq
+
+    total = met = 0
+    for file in Path(path).rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            (stats,) = [c.statistics for i in range(meta.num_columns) if (c := meta.row_group(g).column(i)).path_in_schema == column]
+            total, met = total + 1, met + (stats.min <= value <= stats.max)
+    return total, met
+
+
+def test_look_ups_meet_few_row_groups(spark, tmp_path):
+    """By date and by commune alike, where an order by date alone would leave communes everywhere."""
+    rows = spark.range(60_000).select(
+        F.lit("63").alias("code_departement"),
+        F.concat(F.lit("63"), F.lpad((F.xxhash64("id") % 400 + 400).cast("string"), 3, "0")).alias("code_commune"),
+        F.date_add(F.lit("2014-01-01").cast("date"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4000)).cast("int")).alias("date_mutation"),
+        F.sha2(F.col("id").cast("string"), 256).alias("cle_vente"),
+    )
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size", str(64 * 1024))
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.size.row.check.min", "100")
+    try:
+        export.write_table(rows.coalesce(1), str(tmp_path / "t"))
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size")
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.size.row.check.min")
+    total, by_commune = groups_met(tmp_path / "t", "code_commune", "63333")
+    _, by_date = groups_met(tmp_path / "t", "date_mutation", dt.date(2019, 5, 5))
+    assert total >= 16 and by_commune <= total / 2 and by_date <= total / 2
+    assert read_table(spark, str(tmp_path / "t")).count() == 60_000
+
+
+def test_keys_have_bloom_filters(spark, tmp_path):
+    rows = spark.range(5000).select(F.lit("63").alias("code_departement"), F.sha2(F.col("id").cast("string"), 256).alias("cle_vente"))
+    export.write_table(rows, str(tmp_path / "t"))
+    key = rows.first()["cle_vente"]
+    assert read_table(spark, str(tmp_path / "t")).filter(F.col("cle_vente") == key).count() == 1
+    # The filters lie in the files.
+    plain = tmp_path / "plain"
+    rows.write.option("compression", "zstd").parquet(str(plain))
+    size = lambda root: sum(f.stat().st_size for f in Path(root).rglob("*.parquet"))
+    assert size(tmp_path / "t") > size(plain)
+
+
+def test_curve():
+    place = lambda a, b: sum(((a >> i) & 1) << (2 * i + 1) | ((b >> i) & 1) << (2 * i) for i in range(13))
+    assert place(1, 0) == 2 and place(0, 1) == 1 and place(3, 3) == 15
+
+
+def test_curve_as_a_column(spark):
+    rows = spark.createDataFrame([(a, b) for a in (0, 1, 5, 8000) for b in (0, 3, 999)], "a long, b int")
+    got = {(r["a"], r["b"]): r["p"] for r in rows.select("a", "b", export.curve(F.col("a"), F.col("b")).alias("p")).collect()}
+    for (a, b), p in got.items():
+        assert p == sum(((a >> i) & 1) << (2 * i + 1) | ((b >> i) & 1) << (2 * i) for i in range(13))
