@@ -30,6 +30,8 @@ BASE = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 #: Other notations, for the classifier to decide on: bracketed at and dot, eight-part addresses, national numbers.
+#: A name has 64 characters at most, a label 63, a domain nine labels, as addresses have; addresses of fewer than
+#: eight written parts aren't proposed.
 OTHER = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}(?: ?[\[(] ?dot ?[\])] ?[A-Za-z0-9-]{1,63}){1,8}",
     "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])",
@@ -57,29 +59,88 @@ LABELERS = ("shape", "listed", "cue", "edge")
 LENGTHS, FORMS = 6, 32
 #: Characters before a span in which cue words count.
 REACH = 40
+#: Characters of the pieces into which a text is cut to look around its spans; more than ``REACH``.
+PIECE = 512
+#: Matches whose places are summed up together.
+MATCHES_AT_ONCE = 256
 #: A span in another notation is reported from this probability on.
 THRESHOLD = 0.5
 
 
 def _spans(text: Column, pattern: str) -> Column:
-    """``[{start, value}]`` of the leftmost non-overlapping matches; start in code points from 0."""
+    """``[{start, value}]`` of the leftmost non-overlapping matches; start in code points from 0.
+
+    Starts are summed up block by block, and the blocks' starts over the blocks: an array that grows by one
+    element is copied each time, and so stays short.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda gap, value: F.struct(gap.alias("gap"), value.alias("value")))
+    pairs = _let(
+        found,
+        lambda values: F.zip_with(
+            F.slice(between, F.lit(1), F.size(values)),
+            values,
+            lambda gap, value: F.struct(F.length(gap).alias("gap"), F.length(value).alias("length"), value.alias("value")),
+        ),
+    )
+    none = F.array().cast("array<int>")
+
+    def starts(summed: Column) -> Column:
+        return F.aggregate(
+            summed,
+            F.struct(F.lit(0).alias("at"), none.alias("starts")),
+            lambda acc, block: F.struct(
+                (acc["at"] + block["at"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")
+            ),
+            lambda acc: acc["starts"],
+        )
+
+    def moved(summed: Column) -> Column:
+        return F.zip_with(
+            summed,
+            starts(summed),
+            lambda block, at: F.transform(block["spans"], lambda s: F.struct((at + s["start"]).alias("start"), s["value"].alias("value"))),
+        )
+
+    blocks = _let(pairs, lambda p: F.transform(_every(F.size(p)), lambda first: F.slice(p, first, MATCHES_AT_ONCE)))
+    return F.flatten(_let(F.transform(blocks, _within_block), moved))
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it occurs in it, also within functions of elements."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _every(n: Column) -> Column:
+    """1, 1 + ``MATCHES_AT_ONCE``, ... up to ``n``."""
+    return F.when(n > 0, F.sequence(F.lit(1), n, F.lit(MATCHES_AT_ONCE))).otherwise(F.array().cast("array<int>"))
+
+
+def _within_block(pairs: Column) -> Column:
+    """Length of a block of matches and the gaps before them, and its matches with their places in it."""
     none = F.array().cast("array<struct<start:int,value:string>>")
     return F.aggregate(
         pairs,
         F.struct(F.lit(0).alias("at"), none.alias("spans")),
         lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["gap"]) + F.length(p["value"])).alias("at"),
-            F.concat(
-                acc["spans"], F.array(F.struct((acc["at"] + F.length(p["gap"])).alias("start"), p["value"].alias("value")))
-            ).alias("spans"),
+            (acc["at"] + p["gap"] + p["length"]).alias("at"),
+            F.concat(acc["spans"], F.array(F.struct((acc["at"] + p["gap"]).alias("start"), p["value"].alias("value")))).alias("spans"),
         ),
-        lambda acc: acc["spans"],
     )
 
 
+def _around(pieces: Column, span: Column) -> tuple[Column, Column]:
+    """The ``REACH`` characters before a span in lower case and the one after it, out of the text's pieces.
+
+    A character of a long text is only found by counting from its beginning, so spans look into short pieces.
+    """
+    start, end = span["start"], span["start"] + F.length(span["value"])
+    piece = lambda at: F.coalesce(F.get(pieces, at), F.lit(""))
+    number = lambda at: F.floor(at / PIECE).cast("int")
+    ahead = F.concat(piece(number(start) - 1), F.substring(piece(number(start)), F.lit(1), start % PIECE))
+    return F.lower(F.right(ahead, F.lit(REACH))), F.substring(piece(number(end)), end % PIECE + 1, F.lit(1))
+
+
 def _passes_luhn(digits: Column) -> Column:
     doubled = F.transform(
         F.split(F.reverse(digits), ""),
@@ -128,10 +189,17 @@ def _votes(kind: str) -> dict[str, Column]:
     return {"shape": shape, "listed": listed, "cue": cue, "edge": _vote(~beside, beside)}
 
 
-def _labelled(kind: str, base: bool):
-    return lambda s: F.struct(
-        F.lit(kind).alias("kind"), F.lit(base).alias("base"), s["start"].alias("start"), s["value"].alias("value")
-    )
+def _labelled(kind: str, base: bool, pieces: Column):
+    def label(s: Column) -> Column:
+        before, after = _around(pieces, s)
+        place = [F.lit(kind).alias("kind"), F.lit(base).alias("base"), s["start"].alias("start"), s["value"].alias("value")]
+        return F.struct(*place, before.alias("before"), after.alias("after"))
+
+    return label
+
+
+def _looking_around(text: Column, pattern: str, kind: str, base: bool):
+    return lambda pieces: F.transform(_spans(text, pattern), _labelled(kind, base, pieces))
 
 
 def _count(kind: str) -> Column:
@@ -140,22 +208,16 @@ def _count(kind: str) -> Column:
 
 def candidates(docs: DataFrame) -> DataFrame:
     """Proposed spans of ``docs (doc_id, h1, h2, text)`` with the labelers' votes and the classifier's features."""
-    text = F.col("text")
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    text, form = F.col("text"), "struct<kind:string,base:boolean,start:int,value:string,before:string,after:string>"
     parts = []
     for kind in KINDS:
         for base, patterns in ((True, BASE), (False, OTHER)):
             if kind in patterns:
-                found = F.transform(_spans(text, patterns[kind]), _labelled(kind, base))
-                none = F.array().cast("array<struct<kind:string,base:boolean,start:int,value:string>>")
+                found = _let(pieces, _looking_around(text, patterns[kind], kind, base))
+                none = F.array().cast(f"array<{form}>")
                 parts.append(F.when(text.rlike(SIGN[kind]), found).otherwise(none))
-    spans = docs.select("doc_id", "h1", "h2", "text", F.explode(F.concat(*parts)).alias("s")).select(
-        "doc_id",
-        "h1",
-        "h2",
-        "s.*",
-        F.lower(F.expr(f"substring(text, greatest(1, s.start + 1 - {REACH}), least({REACH}, s.start))")).alias("before"),
-        F.expr("substring(text, s.start + 1 + length(s.value), 1)").alias("after"),
-    )
+    spans = docs.select("doc_id", "h1", "h2", F.explode(F.concat(*parts)).alias("s")).select("doc_id", "h1", "h2", "s.*")
     spans = spans.withColumn("end", F.col("start") + F.length("value"))
     passed = votes = None
     for kind in KINDS:
@@ -168,7 +230,7 @@ def candidates(docs: DataFrame) -> DataFrame:
             ballot = _votes(kind)[name]
             vote = F.when(F.col("kind") == kind, ballot) if vote is None else vote.when(F.col("kind") == kind, ballot)
         spans = spans.withColumn(name, vote)
-    form = F.regexp_replace(F.regexp_replace("value", "[0-9]+", "9"), r"\p{L}+", "a")
+    shape = F.regexp_replace(F.regexp_replace("value", "[0-9]+", "9"), r"\p{L}+", "a")
     return spans.select(
         "doc_id",
         "h1",
@@ -180,7 +242,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         "end",
         *LABELERS,
         F.least(F.lit(LENGTHS - 1), F.floor(F.length("value") / 6)).cast("int").alias("size"),
-        F.pmod(F.xxhash64(form), F.lit(FORMS)).cast("int").alias("form"),
+        F.pmod(F.xxhash64(shape), F.lit(FORMS)).cast("int").alias("form"),
     )
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -125,6 +126,17 @@ def test_other_notations_are_judged(spark):
     assert got[501]["spans"] == ""
 
 
+def test_many_matches_in_a_long_text(spark):
+    """Two million characters of numbers, with spans at places that only counting from the beginning gives."""
+    rng = random.Random(1)
+    numbers = ", ".join(str(rng.randrange(10, 99999)) for _ in range(290_000))
+    rows = [(1, f"{numbers} x@y.org {numbers[:3000]}"), (2, "é😀" * 700 + " a.b@c.org,😀 10.0.0.1"), (3, "😀" * 511 + "a@b.co")]
+    began = time.monotonic()
+    got = {r["doc_id"]: r["spans"] for r in personal_data.personal_data(frame(spark, rows)).collect()}
+    assert time.monotonic() - began < 120
+    assert got == {1: f"email:{len(numbers) + 1}:{len(numbers) + 8}", 2: "email:1401:1410,ip:1413:1421", 3: "email:511:517"}
+
+
 def test_expectation_maximisation_recovers_reliabilities():
     rng = random.Random(5)
     accuracy = [0.95, 0.85, 0.7, 0.55]
