@@ -86,11 +86,14 @@ def prepare_sales(
     within = coverage.scope(spark, out, departments, force)
     scans = delimited.scan_sale_lines(spark, sources)
     if within.done:
-        named = {d for scan in scans for d in coverage.departments_of(scan, "code_departement")}
+        with delimited.refusal_with_evidence(spark, [path for paths in sources for path in paths]):
+            named = {d for scan in scans for d in coverage.departments_of(scan, "code_departement")}
         if within.empty or nothing_new(within, named):
             return reports.sales_report(read_table(spark, out))
     with scratch_scope(spark):
-        lines = materialize(effective_lines([materialize(s, "landed-lines") for s in scans]), "sale-lines")
+        with delimited.refusal_with_evidence(spark, [path for paths in sources for path in paths]):
+            staged = [materialize(s, "landed-lines") for s in scans]
+        lines = materialize(effective_lines(staged), "sale-lines")
         found = coverage.departments_of(lines, "code_departement")
         sales = sales_from_lines(lines).filter(within.holds(F.col("code_departement")))
         table = export.write_run(sales, out, within, found, mode=mode)
@@ -119,7 +122,8 @@ def prepare_diagnostics(
         if isinstance(pages, DataFrame):
             raw = delimited.align_labels(pages)
         else:
-            raw = materialize(delimited.scan_diagnostics(spark, pages), "diagnostic-pages")
+            with delimited.refusal_with_evidence(spark, pages):
+                raw = materialize(delimited.scan_diagnostics(spark, pages), "diagnostic-pages")
         found = coverage.departments_of(raw, key)
         if within.done and (within.empty or nothing_new(within, found)):
             return reports.diagnostics_report(read_table(spark, out))

@@ -93,6 +93,19 @@ def csv_dialect_scan(spark: SparkSession, sf: str) -> DataFrame:
     return delimited.scan_with_dialect(spark, path).select(*groups.columns)
 
 
+def ragged_line_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders landed as text with a header, a file per priority; some lines have a field too many or too few."""
+    path, key = scratch_path(spark, "ragged-orders"), F.col("o_orderkey")
+    order = an.table(spark, sf, "orders").select("o_orderkey", F.substring("o_orderpriority", 1, 1).alias("priority"))
+    line = F.when(key % 997 == 3, F.concat_ws(";", key, "priority", F.lit("x"))).when(key % 499 == 1, key.cast("string")).otherwise(F.concat_ws(";", key, "priority"))
+    header = order.select("priority").distinct().select(F.lit(-1).cast("long").alias("o_orderkey"), "priority", F.lit("key;priority").alias("value"))
+    rows = order.select("o_orderkey", "priority", line.alias("value")).unionByName(header)
+    sorted_rows = rows.repartition("priority").sortWithinPartitions("priority", "o_orderkey")
+    sorted_rows.select("value", "priority").write.partitionBy("priority").text(path)
+    found = delimited.ragged_lines(spark, [path], ";")
+    return found.select(F.regexp_extract("file", "priority=([^/]+)/", 1).alias("priority"), "line", "text")
+
+
 def align_columns(spark: SparkSession, sf: str) -> DataFrame:
     """An export whose labels have spaces, hyphens and capitals, and lack two columns."""
     raw = an.diagnostics_raw(spark, sf).drop("statut_geocodage", "periode_construction")
@@ -752,6 +765,7 @@ REGISTERED = {
     "scan_union_by_name": scan_union_by_name,
     "source_priority_tag": source_priority_tag,
     "csv_dialect_scan": csv_dialect_scan,
+    "ragged_line_scan": ragged_line_scan,
     "align_columns": align_columns,
     "territory_dim": territory_dim,
     "dept_filter": dept_filter,

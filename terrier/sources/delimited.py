@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrier.sources import landing
@@ -90,6 +93,66 @@ def read_text_table(
     )
 
 
+def ragged_lines(spark: SparkSession, paths: list[str], sep: str = ",", pattern: str | None = None) -> DataFrame:
+    """``file, line, text`` of the lines with more or fewer fields than their file's header; line 1 is the header.
+
+    Each layout is read once in the permissive mode, which keeps a line it can't fit as it is. Only files that have
+    such lines are read again, to number their lines. Lines that are alike are all listed.
+    """
+    found = []
+    for header, files in layouts(spark, paths, pattern):
+        names = [f"_{i}" for i in range(len(spark.read.option("header", "true").option("sep", sep).csv(files[0]).columns))]
+        schema = ", ".join(f"{n} string" for n in [*names, "_ragged"])
+        rows = (
+            spark.read.schema(schema)
+            .option("header", "true")
+            .option("sep", sep)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_ragged")
+            .option("columnPruning", "false")
+            .csv(files)
+        )
+        # A scan must not ask for the kept line alone, so the first field has a part in the condition.
+        kept = F.length(F.concat(F.col("_ragged"), F.coalesce("_0", F.lit("")))) >= 0
+        found.append(rows.filter(kept).select(F.col("_metadata.file_path").alias("file"), F.col("_ragged").alias("text")))
+    if not found:
+        return spark.createDataFrame([], "file string, line long, text string")
+    ragged = reduce(DataFrame.unionByName, found).distinct()
+    files = [r["file"] for r in ragged.select("file").distinct().collect()]
+    if not files:
+        return spark.createDataFrame([], "file string, line long, text string")
+    lines = spark.read.text([unquote(f) for f in files]).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        F.col("value").alias("text"),
+    )
+    numbered = lines.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("block", "place")).cast("long"))
+    return numbered.join(ragged, ["file", "text"], "left_semi").select("file", "line", "text")
+
+
+#: So many ragged lines are listed in a refusal; it tells how many there are.
+LISTED_LINES = 20
+
+
+@contextmanager
+def refusal_with_evidence(spark: SparkSession, paths: list[str], sep: str = ",", pattern: str | None = None) -> Iterator[None]:
+    """Where the work inside the block fails on a ragged line, all of them are found and listed before it is refused."""
+    try:
+        yield
+    except Exception as error:
+        if "MALFORMED_RECORD" not in str(error):
+            raise
+        ragged = ragged_lines(spark, paths, sep, pattern)
+        listed = ragged.orderBy("file", "line").limit(LISTED_LINES).collect()
+        if not listed:
+            raise
+        named = "; ".join(f"{r['file']}, line {r['line']}: {r['text'][:120]!r}" for r in listed)
+        raise ValueError(f"malformed: {ragged.count()} line(s) don't have the fields of their header, the first {len(listed)}: {named}") from error
+
+
 def layouts(spark: SparkSession, paths: list[str], pattern: str | None = None) -> list[tuple[str, list[str]]]:
     """Files grouped by header line. Holds file names only, as Spark's own file index does."""
     heads = landing.file_headers(landing.list_files(spark, paths, pattern))

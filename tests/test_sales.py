@@ -1,3 +1,4 @@
+import gzip
 from pathlib import Path
 
 import pytest
@@ -186,6 +187,18 @@ def test_ragged_line_is_refused(spark, tmp_path):
         delimited.read_text_table(spark, str(path)).select("a").collect()
 
 
+def test_refusal_names_all_ragged_lines(spark, tmp_path):
+    good = write_csv(tmp_path / "in" / "a.csv", LINE_COLUMNS, [{**SALE, "id_mutation": str(i)} for i in range(5)])
+    whole = Path(good).read_text()
+    (tmp_path / "in" / "b b.csv").write_text(whole + "short,line\n" + whole.split("\n")[1] + "\n" + whole.split("\n")[2] + ",more\n")
+    (tmp_path / "in" / "c.csv.gz").write_bytes(gzip.compress((whole.split("\n")[0] + "\n\"x,y\",z\n").encode()))
+    got = sorted((r["file"].replace("%20", " ").rsplit("/", 1)[1], r["line"], r["text"][:10]) for r in delimited.ragged_lines(spark, [str(tmp_path / "in")]).collect())
+    assert got == [("b b.csv", 7, "short,line"), ("b b.csv", 9, "1,2019-10-"), ("c.csv.gz", 2, '"x,y",z')]
+    with pytest.raises(ValueError, match=r"malformed: 3 line\(s\).*b%20b.csv, line 7: 'short,line'|malformed: 3 line\(s\).*b b.csv, line 7: 'short,line'"):
+        prepare_sales(spark, [[str(tmp_path / "in")]], str(tmp_path / "out"))
+    assert delimited.ragged_lines(spark, [good]).count() == 0
+
+
 def test_malformed_number_fails_the_job(spark):
     lines = sale_lines(spark, [{**SALE, "id_mutation": "1", "surface_reelle_bati": "douze"}])
     with pytest.raises(Exception, match="douze"):
