@@ -27,7 +27,7 @@ def test_query(spark, con, name):
 
 def test_names():
     assert set(ORACLES) <= set(QUERIES)
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_every_stage_on_what_the_one_before_kept(spark, tmp_path):
