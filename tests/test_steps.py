@@ -27,3 +27,26 @@ def written(monkeypatch, name, spark):
 def test_enrichment_stages_what_it_joins(spark, monkeypatch):
     seen = written(monkeypatch, "sale_enrichment", spark)
     assert set(seen["sales"]) == {"id_mutation", "id_parcelle", "date_mutation", "code_departement"}
+
+
+def lines_of(spark, *rows):
+    return delimited.complete_sale_lines(sale_lines(spark, [{**SALE, **r} for r in rows]))
+
+
+def test_wide_lines_are_sorted_by_digests(spark):
+    both = [lines_of(spark, {"id_mutation": "1"}), lines_of(spark, {"id_mutation": "2"})]
+    kept = prefer_later_sources(both, sale_match_key())
+    assert "_m_digest" in kept._jdf.queryExecution().analyzed().toString().split("LeftAnti, ")[1].split("<=>")[0]
+    sales = collapse(typed_lines(market_sales(both[0])))
+    grouped = sales._jdf.queryExecution().analyzed().toString().split("Aggregate [")[1]
+    assert grouped.startswith("xxhash64(id_mutation")
+
+
+def test_digest_keeps_equal_keys_equal(spark):
+    """Prices that are one number in two spellings, zero with either sign, and missing values."""
+    odd = [{"valeur_fonciere": "-0.0"}, {"valeur_fonciere": "1e3"}, {"valeur_fonciere": None, "date_mutation": None}]
+    same = [{"valeur_fonciere": "0"}, {"valeur_fonciere": "1000.00"}, {"valeur_fonciere": None, "date_mutation": None}]
+    older = lines_of(spark, *[{**r, "id_mutation": f"a{i}"} for i, r in enumerate(odd)], {"id_mutation": "alone", "valeur_fonciere": "7"})
+    newer = lines_of(spark, *[{**r, "id_mutation": f"b{i}"} for i, r in enumerate(same)])
+    kept = prefer_later_sources([older, newer], sale_match_key()).collect()
+    assert sorted(r["id_mutation"] for r in kept) == ["alone", "b0", "b1", "b2"]
