@@ -50,3 +50,10 @@ def test_digest_keeps_equal_keys_equal(spark):
     newer = lines_of(spark, *[{**r, "id_mutation": f"b{i}"} for i, r in enumerate(same)])
     kept = prefer_later_sources([older, newer], sale_match_key()).collect()
     assert sorted(r["id_mutation"] for r in kept) == ["alone", "b0", "b1", "b2"]
+
+
+def test_departments_are_read_from_the_lines_once(spark, monkeypatch):
+    calls, read = [], coverage.departments_of
+    monkeypatch.setattr(coverage, "departments_of", lambda *a: calls.append(a) or read(*a))
+    queries.coverage_record(spark, SF)
+    assert len(calls) == 1
