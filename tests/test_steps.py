@@ -57,3 +57,8 @@ def test_departments_are_read_from_the_lines_once(spark, monkeypatch):
     monkeypatch.setattr(coverage, "departments_of", lambda *a: calls.append(a) or read(*a))
     queries.coverage_record(spark, SF)
     assert len(calls) == 1
+
+
+def test_joint_report_stages_what_it_counts(spark, monkeypatch):
+    seen = written(monkeypatch, "joint_report", spark)
+    assert "valeur_fonciere" not in seen["sales"] and "emprise_sol" not in seen["buildings"]
