@@ -62,3 +62,14 @@ def test_departments_are_read_from_the_lines_once(spark, monkeypatch):
 def test_joint_report_stages_what_it_counts(spark, monkeypatch):
     seen = written(monkeypatch, "joint_report", spark)
     assert "valeur_fonciere" not in seen["sales"] and "emprise_sol" not in seen["buildings"]
+
+
+def landed(monkeypatch, tmp_path, query, spark):
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, label: str(tmp_path / label))
+    assert query(spark, SF).count() > 0
+    return [p.name for p in Path(tmp_path).rglob("part-*")]
+
+
+def test_union_reads_compressed_landings(spark, monkeypatch, tmp_path):
+    names = landed(monkeypatch, tmp_path, queries.scan_union_by_name, spark)
+    assert names and all(n.endswith(".csv.gz") for n in names)
