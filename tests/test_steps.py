@@ -73,3 +73,8 @@ def landed(monkeypatch, tmp_path, query, spark):
 def test_union_reads_compressed_landings(spark, monkeypatch, tmp_path):
     names = landed(monkeypatch, tmp_path, queries.scan_union_by_name, spark)
     assert names and all(n.endswith(".csv.gz") for n in names)
+
+
+def test_tagged_landings_are_compressed(spark, monkeypatch, tmp_path):
+    names = landed(monkeypatch, tmp_path, queries.source_priority_tag, spark)
+    assert names and all(n.endswith(".csv.gz") for n in names)
