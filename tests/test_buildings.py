@@ -1,3 +1,4 @@
+import random
 import struct
 
 import pytest
@@ -37,6 +38,29 @@ def test_dwellings_break_ties_and_nulls_come_last(spark):
     assert got == {"p": "B", "q": "C", "r": "D"}
 
 
+def test_arbitration_against_brute_force(spark):
+    """Buildings numbered in several partitions, links listed twice with either mark, parcels and dwellings unknown."""
+    rng = random.Random(5)
+    sizes = [(f"B{i:03d}", rng.choice([None, 0, 1, 2, 7, -3])) for i in range(300)]
+    links = [(f"B{rng.randrange(320):03d}", rng.choice([None, *"pqrstuvwxyz"]), rng.choice([None, "T", "f", "0"])) for _ in range(900)]
+    links += [(b, "dup", flag) for b in ("B001", "B002") for flag in ("f", "T")] + [("B001", "dup", "f")]
+    known, best = dict(sizes), {}
+    for b, parcel, flag in links:
+        if b in known:
+            place = (flag != "T", known[b] is None, -(known[b] or 0), b)
+            best[parcel] = min(best.get(parcel, place), place)
+    relation = spark.createDataFrame(links, "batiment_groupe_id string, parcelle_id string, parcelle_principale string")
+    buildings = spark.createDataFrame(sizes, "batiment_groupe_id string, nb_logements int")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        for chosen in ("false", "true"):
+            spark.conf.set("spark.sql.adaptive.enabled", chosen)
+            got = [tuple(r) for r in arbitrate_parcels(relation, buildings).collect()]
+            assert len(got) == len(best) and dict(got) == {p: place[-1] for p, place in best.items()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_department_filter_restricts_parcels(tables):
     got = rows(prepare_building_rows(tables, ["15"]))
     assert set(got) == {"H12"}

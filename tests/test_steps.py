@@ -78,3 +78,21 @@ def test_union_reads_compressed_landings(spark, monkeypatch, tmp_path):
 def test_tagged_landings_are_compressed(spark, monkeypatch, tmp_path):
     names = landed(monkeypatch, tmp_path, queries.source_priority_tag, spark)
     assert names and all(n.endswith(".csv.gz") for n in names)
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_joint_report_sorts_no_links(spark, monkeypatch):
+    """The parcels behind the report come from one combining aggregate of the links."""
+    plans, write = [], queries.materialize
+    monkeypatch.setattr(queries, "materialize", lambda df, label, *rest: plans.append((label, optimized(df))) or write(df, label, *rest))
+    queries.joint_report(spark, SF)
+    plan = dict(plans)["parcels-won"]
+    assert "Window" not in plan and plan.count("Aggregate [") == 1 and "Aggregate [parcelle_id" in plan
+
+
+def test_orders_are_written_as_text_before_they_meet_their_lines(spark):
+    above, below = optimized(queries.collapsed(spark, SF)).split("Join Inner")
+    assert " AS id_mutation" not in above and " AS id_mutation" in below
