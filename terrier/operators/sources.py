@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrier.functions.casts import lenient_double
+from terrier.session import in_pieces, materialize_pieces
 
 def sale_match_key() -> dict[str, Column]:
     """What makes two raw lines the same sale across sources.
@@ -24,7 +25,13 @@ def sale_match_key() -> dict[str, Column]:
     }
 
 
-def prefer_later_sources(sources: list[DataFrame], key: dict[str, Column], tag: str | None = None) -> DataFrame:
+def prefer_later_sources(
+    sources: list[DataFrame],
+    key: dict[str, Column],
+    tag: str | None = None,
+    only: Column | None = None,
+    pieces: int | None = None,
+) -> DataFrame:
     """Where sources overlap on ``key``, keeps only the lines of the highest-priority one.
 
     ``sources`` run from the lowest priority to the highest. The highest passes through
@@ -32,12 +39,19 @@ def prefer_later_sources(sources: list[DataFrame], key: dict[str, Column], tag:
     it. NULL keys match each other. All the lines of the winning source stay. ``tag`` adds the
     position of the source. A digest of the key comes first in the join, so that wide lines are sorted by
     eight bytes and not by dates that thousands of them share.
+
+    ``only`` narrows what is kept; the lines it leaves out take precedence as well.
+    With ``pieces`` the lines left of a lower source are written down, cut by that digest into as many
+    pieces: the disk then holds the shuffled lines of one piece at a time. Sources are read once per piece.
     """
     digest = F.xxhash64(*key.values())
 
     def tagged(df: DataFrame, i: int) -> DataFrame:
         return df.withColumn(tag, F.lit(i)) if tag else df
 
+    def wanted(df: DataFrame) -> DataFrame:
+        return df if only is None else df.filter(only)
+
     kept = []
     for i, df in enumerate(sources):
         if sources[i + 1 :]:
@@ -46,9 +60,16 @@ def prefer_later_sources(sources: list[DataFrame], key: dict[str, Column], tag:
                 [s.select(digest.alias("_k_digest"), *[c.alias(f"_k_{n}") for n, c in key.items()]) for s in sources[i + 1 :]],
             ).distinct()
             columns = df.columns
-            keyed = df.withColumns({"_m_digest": digest, **{f"_m_{n}": c for n, c in key.items()}})
+            keyed = wanted(df).withColumns({"_m_digest": digest, **{f"_m_{n}": c for n, c in key.items()}})
             same = [F.col("_m_digest") == F.col("_k_digest"), *[F.col(f"_m_{n}").eqNullSafe(F.col(f"_k_{n}")) for n in key]]
-            df = keyed.join(taken, same, "left_anti").select(*columns)
+            if pieces is None:
+                df = keyed.join(taken, same, "left_anti").select(*columns)
+            else:
+                cut = zip(in_pieces(keyed, F.col("_m_digest"), pieces), in_pieces(taken, F.col("_k_digest"), pieces), strict=True)
+                left = [k.join(t, same, "left_anti").select(*columns) for k, t in cut]
+                df = materialize_pieces(left, "lines-left")
+        else:
+            df = wanted(df)
         kept.append(tagged(df, i))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), kept)
 

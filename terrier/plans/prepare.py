@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrier.functions.territories import require_known_territories, select_departments
@@ -22,29 +22,47 @@ from terrier.operators.ranking import largest_group
 from terrier.operators.sales import add_price_flag, add_sale_key, collapse, market_sales, typed_lines
 from terrier.operators.sources import prefer_later_sources, sale_match_key
 from terrier.plans import export
-from terrier.session import materialize, scratch_scope
+from terrier.session import in_pieces, materialize, materialize_pieces, scratch_scope
 from terrier.sources import coverage, delimited, ledger
 from terrier.sources.coverage import Scope
 from terrier.sources.tables import PARTITION, datasets, manifest_baseline, read_table, read_table_or_none
 
 
-def effective_lines(sources: list[DataFrame]) -> DataFrame:
+# Lines that are shuffled at a time, and how often staged lines may be read for that. The bound keeps
+# the reading linear in the lines; beyond it pieces grow.
+PIECE_LINES = 12_000_000
+MOST_PIECES = 6
+
+
+def pieces_of(lines: DataFrame) -> int:
+    """Into how many pieces a staged table of lines is cut."""
+    return max(1, min(MOST_PIECES, -(-lines.count() // PIECE_LINES)))
+
+
+def effective_lines(sources: list[DataFrame], only: Column | None = None, pieces: int | None = None) -> DataFrame:
     """Lines left once later sources have taken precedence, tagged with their source."""
-    return prefer_later_sources(sources, sale_match_key(), tag=delimited.PRIORITY)
+    return prefer_later_sources(sources, sale_match_key(), tag=delimited.PRIORITY, only=only, pieces=pieces)
 
 
-def sales_from_lines(lines: DataFrame, largest: int | None = None) -> DataFrame:
+def sales_from_lines(lines: DataFrame, largest: int | None = None, pieces: int | None = None) -> DataFrame:
     """Raw text lines to the published sale table.
 
     Identifiers of different sources are different sequences, so lines of two sources never
     merge into one sale. ``largest`` bounds the number of sales that share a fingerprint and
     picks the way they are ranked. Where the caller knows no bound, the collapsed sales (a
-    quarter of the lines) are written down once and counted on that one column.
+    quarter of the lines) are written down once and counted on that one column. With ``pieces`` they are
+    written in any case, as many pieces one after the other, and the lines are not read any more after that.
     """
     keep = [delimited.PRIORITY] if delimited.PRIORITY in lines.columns else []
-    sales = collapse(typed_lines(market_sales(lines), keep), [*keep, "id_mutation"])
+    by = [*keep, "id_mutation"]
+    typed = typed_lines(market_sales(lines), keep)
+    if pieces is not None:
+        cut = in_pieces(typed, F.xxhash64(*by), pieces)
+        sales = materialize_pieces([collapse(piece, by) for piece in cut], "collapsed-sales")
+    else:
+        sales = collapse(typed, by)
     if largest is None:
-        sales = materialize(sales, "collapsed-sales")
+        sales = sales if pieces is not None else materialize(sales, "collapsed-sales")
         largest = largest_group(sales, ["_fingerprint"])
     return add_price_flag(add_sale_key(sales, largest=largest))
 

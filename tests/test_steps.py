@@ -1,10 +1,16 @@
 """What the larger queries write, read and sort by, on the smallest driver tables."""
 
+import time
+from datetime import datetime
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from fixtures import SALE, sale_lines
+from terrier import session
 from terrier.operators.sales import collapse, market_sales, typed_lines
 from terrier.operators.sources import prefer_later_sources, sale_match_key
+from terrier.plans import prepare
 from terrier.registry import queries
 from terrier.sources import coverage, delimited
 
@@ -96,3 +102,66 @@ def test_joint_report_sorts_no_links(spark, monkeypatch):
 def test_orders_are_written_as_text_before_they_meet_their_lines(spark):
     above, below = optimized(queries.collapsed(spark, SF)).split("Join Inner")
     assert " AS id_mutation" not in above and " AS id_mutation" in below
+
+
+def orders_with_lines(spark, root):
+    """Sales on both sides of the official window, with twins, lines that come twice, and keys that are missing or met nowhere."""
+    days = [datetime(1996, 12, 30), datetime(1997, 1, 1), datetime(1997, 6, 2), None]
+    orders = [(k, days[k % 4], 1000.0 + k // 8, "5-LOW" if k % 7 == 0 else "1-URGENT") for k in range(1, 60)]
+    orders += [(None, days[0], 5.0, "1-URGENT"), (200, days[1], None, None), orders[4]]
+    lines = [(k, k % 5 + 1, n % 3 + 1, n, 10.0 + n, "R" if n == 2 else "N") for k in [*range(1, 70), 200] for n in range(1, 4)]
+    lines += [lines[8], (None, 1, 1, 1, 1.0, "N"), (9, None, None, None, None, None)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderdate timestamp, o_totalprice double, o_orderpriority string").write.parquet(f"{root}/orders.parquet")
+    kinds = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string"
+    spark.createDataFrame(lines, kinds).write.parquet(f"{root}/lineitem.parquet")
+
+
+def test_consolidation_in_pieces_leaves_only_the_sales(spark, monkeypatch, tmp_path):
+    """The same sales as in one go; what is left to the reader is a ranking of staged rows, and the lines are gone."""
+    root, paths, write = str(tmp_path), [], session.scratch_path
+    orders_with_lines(spark, root)
+    whole = prepare.sales_from_lines(prepare.effective_lines(queries.two_sources(spark, root)), 100)
+    whole = queries.rounded(whole, surface_bati=2, surface_terrain=2, longitude=6, latitude=6)
+    monkeypatch.setattr(prepare, "PIECE_LINES", 50)
+    monkeypatch.setattr(session, "scratch_path", lambda spark, label: paths.append(write(spark, label)) or paths[-1])
+    got = queries.consolidated_sales(spark, root)
+    assert "Join" not in optimized(got) and "Aggregate" not in optimized(got)
+    assert [Path(p).name.rsplit("-", 1)[0] for p in paths] == ["sale-lines", "lines-left", "collapsed-sales"]
+    assert [Path(p).exists() for p in paths] == [False, False, True]
+    assert all(p.name.endswith(".zstd.parquet") for p in Path(paths[-1]).glob("part-*"))
+    assert got.columns == whole.columns and {str(r["id_mutation"])[0] for r in got.collect()} == {"1", "A", "N"}
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_precedence_in_pieces_is_that_of_the_whole(spark):
+    """Also for missing keys and prices in two spellings; a line that is not kept takes precedence all the same."""
+    days = ["2019-01-01", "2019-01-02", None]
+    older = [{"id_mutation": f"a{i}", "date_mutation": days[i % 3], "valeur_fonciere": ["0", "1e3", None, "n.c.", "7"][i % 5]} for i in range(30)]
+    newer = [{"id_mutation": "b0", "date_mutation": days[0], "valeur_fonciere": "-0.0"}]
+    newer += [{"id_mutation": "b1", "date_mutation": days[1], "valeur_fonciere": "1000", "nature_mutation": "Echange"}]
+    newer += [{"id_mutation": "b2", "date_mutation": None, "valeur_fonciere": None}]
+    both = [lines_of(spark, *older, older[0]), lines_of(spark, *newer)]
+    only = F.col("nature_mutation") == "Vente"
+    whole = prefer_later_sources(both, sale_match_key(), tag="p").filter(only)
+    for pieces in (1, 3):
+        got = prefer_later_sources(both, sale_match_key(), tag="p", only=only, pieces=pieces)
+        assert got.columns == whole.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+    kept = {r["id_mutation"] for r in got.collect()}
+    assert {"b0", "b2", "a4"} <= kept and not {"b1", "a0", "a1"} & kept
+
+
+def test_pieces_drop_their_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    rows, before = spark.range(1000).withColumn("k", F.col("id") % 7), shuffled()
+    pieces = [p.groupBy("k").count() for p in session.in_pieces(rows, F.xxhash64("k"), 4)]
+    found = session.materialize_pieces(pieces, "counted")
+    assert len(pieces) == 4 and sorted(map(tuple, found.collect())) == sorted((k, len(range(k, 1000, 7))) for k in range(7))
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
