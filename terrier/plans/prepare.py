@@ -31,7 +31,7 @@ from terrier.sources.tables import PARTITION, datasets, manifest_baseline, read_
 # Lines that are shuffled at a time, and how often staged lines may be read for that. The bound keeps
 # the reading linear in the lines; beyond it pieces grow.
 PIECE_LINES = 12_000_000
-MOST_PIECES = 6
+MOST_PIECES = 4
 
 
 def pieces_of(lines: DataFrame) -> int:
